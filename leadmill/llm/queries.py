@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leadmill.llm import formatting_dupes
+from leadmill.llm import bpe, formatting_dupes, line_spam
 from leadmill.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,19 @@ def p5_collapsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.withColumnRenamed("id", "lead_id")
 
 
+def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_table(table(spark, sf_dir, "documents"))
+
+
+def p6_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts encoded and decoded again; the SQL twin gives the texts themselves."""
+    return bpe.decode_table(p6_ids(spark, sf_dir))
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_spam.find_line_spam(table(spark, sf_dir, "documents"))
+
+
 _P5_KEYS = r"""
 WITH squeezed AS (
   SELECT lead_id, "Website" AS a, "Mobile Number" AS b,
@@ -49,8 +62,12 @@ _P5 = _P5_KEYS.replace("{0}", _canon("a", "sa")).replace("{1}", _canon("b", "sb"
 QUERIES: dict[str, Query] = {
     "p5_found": p5_found,
     "p5_collapsed": p5_collapsed,
+    "p6_ids": p6_ids,
+    "p6_decoded": p6_decoded,
+    "p8_found": p8_found,
 }
 SQL: dict[str, str] = {
     "p5_found": _P5 + "SELECT first_id, lead_id AS copy_id FROM firsts WHERE lead_id <> first_id",
     "p5_collapsed": _P5 + "SELECT lead_id, n AS n_copies FROM firsts WHERE lead_id = first_id",
+    "p6_decoded": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
 }
