@@ -5,13 +5,44 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from leadmill.llm import bpe, formatting_dupes, line_spam
+from leadmill.llm import boilerplate, bpe, formatting_dupes, line_spam, residue
 from leadmill.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return residue.find_residue(table(spark, sf_dir, "websites"))
+
+
+def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages of both tables, each with the host of its URL."""
+    host = F.regexp_extract(F.lower("url"), r"^\s*(?:[a-z][a-z0-9+.\-]*:)?/*(?:www\.)?([^/?#\s:]*)", 1)
+    return spark_union(
+        table(spark, sf_dir, name).select(
+            F.lit(name).alias("page_table"), F.col("id").cast("bigint").alias("id"), host.alias("host"), F.col("homepage_markdown").alias("text")
+        )
+        for name in ("websites", "extracted_results")
+    )
+
+
+def spark_union(parts) -> DataFrame:
+    first, *rest = parts
+    for p in rest:
+        first = first.unionByName(p)
+    return first
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return boilerplate.body_lines(_pages(spark, sf_dir))
+
+
+def p4_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return boilerplate.templates(boilerplate.pooled(boilerplate.parse(_pages(spark, sf_dir))))
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return formatting_dupes.copies(table(spark, sf_dir, "final_output"), "lead_id", "Website", "Mobile Number")
 
@@ -60,6 +91,9 @@ def _canon(c: str, s: str) -> str:
 _P5 = _P5_KEYS.replace("{0}", _canon("a", "sa")).replace("{1}", _canon("b", "sb"))
 
 QUERIES: dict[str, Query] = {
+    "p2_found": p2_found,
+    "p4_found": p4_found,
+    "p4_templates": p4_templates,
     "p5_found": p5_found,
     "p5_collapsed": p5_collapsed,
     "p6_ids": p6_ids,
