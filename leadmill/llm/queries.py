@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadmill.llm import boilerplate, bpe, formatting_dupes, line_spam, residue
+from leadmill.llm import addresses, boilerplate, bpe, formatting_dupes, line_spam, mixing, residue
 from leadmill.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,15 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return residue.find_residue(table(spark, sf_dir, "websites"))
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return addresses.same_building(table(spark, sf_dir, "extracted_results"), table(spark, sf_dir, "localities"))
+
+
+def p3_buildings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which building each row names: the classes behind p3_found, without pairs."""
+    return addresses.buildings(table(spark, sf_dir, "extracted_results"), table(spark, sf_dir, "localities"))
+
+
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pages of both tables, each with the host of its URL."""
     host = F.regexp_extract(F.lower("url"), r"^\s*(?:[a-z][a-z0-9+.\-]*:)?/*(?:www\.)?([^/?#\s:]*)", 1)
@@ -61,6 +70,14 @@ def p6_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.decode_table(p6_ids(spark, sf_dir))
 
 
+def p7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))[0]
+
+
+def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))[1]
+
+
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_spam.find_line_spam(table(spark, sf_dir, "documents"))
 
@@ -92,12 +109,16 @@ _P5 = _P5_KEYS.replace("{0}", _canon("a", "sa")).replace("{1}", _canon("b", "sb"
 
 QUERIES: dict[str, Query] = {
     "p2_found": p2_found,
+    "p3_found": p3_found,
+    "p3_buildings": p3_buildings,
     "p4_found": p4_found,
     "p4_templates": p4_templates,
     "p5_found": p5_found,
     "p5_collapsed": p5_collapsed,
     "p6_ids": p6_ids,
     "p6_decoded": p6_decoded,
+    "p7_mix": p7_mix,
+    "p7_shares": p7_shares,
     "p8_found": p8_found,
 }
 SQL: dict[str, str] = {
