@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,44 +37,47 @@ def country_hint(context: Column, domain: Column) -> Column:
     )
 
 
-def with_clean_phone(df: DataFrame, phone: str, hint: str, out: str, fallback: str = "ca") -> DataFrame:
-    """A column with the number's country code and form; null for what is no number.
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often it is named."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def clean_phone(phone: Column, hint: Column, fallback: str = "ca") -> Column:
+    """A number with its country code, formatted; null for what is no number.
 
     The rules and their quirks are kept: dummy numbers match as parts, numbers that begin like
-    a year and month are dropped, British numbers count with 11 digits only. Each step is a
-    column of its own, so that no expression is repeated within another.
+    a year and month are dropped, British numbers count with 11 digits only.
     """
-    h, d = F.col(hint), F.col("__d")
+    default = F.lit("+" + CODES.get(fallback, "91"))
 
     def code(number: Column) -> Column:
+        area = F.left(number, F.lit(3)).isin(CANADIAN_AREA_CODES)
+        return F.when(hint == "IN", "+91").when(hint.isin("CA", "US") | area, "+1")
+
+    def zero(d: Column) -> Column:
+        local = F.substr(d, F.lit(2))
+        return F.when(d.startswith("0") & (F.length(d) == 11), F.concat(F.coalesce(code(local), default), local)).otherwise(d)
+
+    def full(d: Column) -> Column:
+        ten = F.coalesce(code(d), F.when(d.rlike("^[2-9]"), default))
         return (
-            F.when(h == "IN", "+91")
-            .when(h.isin("CA", "US"), "+1")
-            .when(F.left(number, F.lit(3)).isin(CANADIAN_AREA_CODES), "+1")
+            F.when(d.startswith("+"), d)
+            .when(F.length(d) == 10, F.concat(ten, d))
+            .when(d.rlike(r"(?s)^(1.{10}|91.{10}|44.{9})$"), F.concat(F.lit("+"), d))
         )
 
-    default = F.lit("+" + CODES.get(fallback, "91"))
-    bare = py_strip(F.regexp_replace(py_strip(F.col(phone)), "(?i)^(tel:|phone:|call:|call us:)", ""))
-    local, n = F.substr(d, F.lit(2)), F.length("__d")
-    steps = df.withColumn("__d", F.regexp_replace(bare, r"(?U)[^\d+]", ""))
-    steps = steps.withColumn("__d", F.when(d.startswith("00"), F.concat(F.lit("+"), F.substr(d, F.lit(3)))).otherwise(d))
-    steps = steps.withColumn("__d", F.when(d.startswith("0") & (n == 11), F.concat(F.coalesce(code(local), default), local)).otherwise(d))
-    ten = F.coalesce(code(d), F.when(F.left(d, F.lit(1)).rlike("[2-9]"), default))
-    full = (
-        F.when(d.startswith("+"), d)
-        .when(n == 10, F.concat(ten, d))
-        .when(((n == 11) & d.startswith("1")) | ((n == 12) & d.startswith("91")) | ((n == 11) & d.startswith("44")), F.concat(F.lit("+"), d))
-    )
-    steps = steps.withColumn("__d", full)
-    pure = F.substr(d, F.lit(2))
-    ok = ~pure.rlike("|".join(DUMMIES)) & F.length(pure).between(7, 15) & ~pure.rlike(r"^(19|20)\d{2}(0[1-9]|1[0-2])")
-    part = lambda a, k: F.substr(pure, F.lit(a), F.lit(k))
-    shown = (
-        F.when((F.length(pure) == 11) & pure.startswith("1"), F.concat(F.lit("+1 ("), part(2, 3), F.lit(") "), part(5, 3), F.lit("-"), part(8, 4)))
-        .when((F.length(pure) == 12) & pure.startswith("91"), F.concat(F.lit("+91 "), part(3, 5), F.lit(" "), part(8, 5)))
-        .otherwise(d)
-    )
-    return steps.withColumn(out, F.when(ok, shown)).drop("__d")
+    def shown(d: Column) -> Column:
+        british_or_other = F.when(d.rlike(r"(?s)^\+.{7,15}$") & ~d.rlike(rf"^\+(19|20)\d{{2}}(0[1-9]|1[0-2])|^\+.*({'|'.join(DUMMIES)})"), d)
+        american = F.regexp_replace(british_or_other, r"(?s)^\+1(.{3})(.{3})(.{4})$", r"+1 ($1) $2-$3")
+        return F.regexp_replace(american, r"(?s)^\+91(.{5})(.{5})$", r"+91 $1 $2")
+
+    bare = py_strip(F.regexp_replace(py_strip(phone), "(?i)^(tel:|phone:|call:|call us:)", ""))
+    digits = F.regexp_replace(F.regexp_replace(bare, r"(?U)[^\d+]", ""), "^00", "+")
+    return _let(digits, lambda a: _let(zero(a), lambda b: _let(full(b), shown)))
+
+
+def with_clean_phone(df: DataFrame, phone: str, hint: str, out: str, fallback: str = "ca") -> DataFrame:
+    return df.withColumn(out, clean_phone(F.col(phone), F.col(hint), fallback))
 
 
 def candidates(text: Column) -> Column:

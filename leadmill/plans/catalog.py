@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from leadmill.functions import dates, emails, phones, social, status, text, urls
-from leadmill.operators import columns, dedupe, exports, state
+from leadmill.functions import dates, emails, html, phones, social, status, text, urls
+from leadmill.operators import columns, crawl, dedupe, exports, state
 from leadmill.operators.packed_fields import unpack_fields
 from leadmill.plans import sql_parts as S
-from leadmill.session import table
+from leadmill.session import spread, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -270,7 +270,11 @@ def cf_email_decode(spark, sf_dir):
 # --- phones ------------------------------------------------------------------------------
 
 
-@query(f"SELECT doc_id, unnest(regexp_extract_all(text, '{phones.CANDIDATE}', 0)) AS phone FROM documents")
+#: Letters as x: a word's border behind a digit is then the same in both engines.
+_LETTERS_X = r"regexp_replace(text, '[\pL\pM\p{No}\p{Nl}]', 'x', 'g')"
+
+
+@query(f"SELECT doc_id, unnest(regexp_extract_all({_LETTERS_X}, '{phones.CANDIDATE}', 0)) AS phone FROM documents")
 def phones_extracted(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", F.explode(phones.candidates(F.col("text"))).alias("phone"))
 
@@ -281,7 +285,7 @@ def country_hints(spark, sf_dir):
 
 
 @query(f"""
-    WITH c AS (SELECT doc_id, unnest(regexp_extract_all(text, '{phones.CANDIDATE}', 0)) AS p, {S.country_hint('text', 'site')} AS hint FROM documents),
+    WITH c AS (SELECT doc_id, unnest(regexp_extract_all({_LETTERS_X}, '{phones.CANDIDATE}', 0)) AS p, {S.country_hint('text', 'site')} AS hint FROM documents),
     {S.phone_steps('c', 'doc_id, p')} SELECT doc_id, p AS phone, cleaned FROM ph5""")
 def phones_clean(spark, sf_dir):
     each = table(spark, sf_dir, "documents").select("doc_id", F.explode(phones.candidates(F.col("text"))).alias("phone"), phones.country_hint(F.col("text"), F.col("site")).alias("hint"))
@@ -559,3 +563,85 @@ def site_statuses(spark, sf_dir):
     FROM (SELECT lead_id, lead_id % 20000 AS s FROM final_output)""")
 def run_durations(spark, sf_dir):
     return table(spark, sf_dir, "final_output").select("lead_id", dates.duration((F.col("lead_id") % 20000).cast("double")).alias("duration"))
+
+
+# --- HTML ------------------------------------------------------------------------------------
+
+#: Pages of the test data: the markdown in paragraphs, with a known mail link, phone, JSON-LD and footer put in.
+_INJECTED_SQL = "'info' || w.id || '@corp' || (w.id % 9) || '.biz'"
+
+
+def html_pages(spark, sf_dir):
+    k = F.col("id").cast("string")
+    body = F.regexp_replace(F.coalesce("homepage_markdown", F.lit("")), r"[<>&]", " ")
+    mail = F.concat(F.lit("info"), k, F.lit("@corp"), (F.col("id") % 9).cast("string"), F.lit(".biz"))
+    phone = F.concat(F.lit("780"), F.lpad((F.col("id") * 37 % 10_000_000).cast("string"), 7, "2"))
+    place = F.concat((F.col("id") % 300 + 1).cast("string"), F.lit(" Harrow Street, Oldtown, BC V5K 0A"), (F.col("id") % 10).cast("string"))
+    html = F.concat(
+        F.lit("<html><head><title>t</title><script src='/static/app.js'></script><script type='application/ld+json'>{\"@type\":\"LocalBusiness\",\"telephone\":\""), phone,
+        F.lit("\",\"address\":{\"@type\":\"PostalAddress\",\"streetAddress\":\""), place, F.lit("\"}}</script></head><body><h1>Home</h1><p>"),
+        F.regexp_replace(body, "\n\n+", "</p><p>"),
+        F.lit("<p><a href='/contact-us'>Contact us</a> <a href='/blog'>Blog</a> <a href='https://www.facebook.com/shop"), k, F.lit("?ref=1'>f</a></p><footer class='footer'><p>"),
+        place, F.lit("</p><a href='mailto:"), mail, F.lit("?subject=x'>mail</a><a href='tel:+1"), phone, F.lit("'>call</a></footer>"),
+    )
+    return table(spark, sf_dir, "websites").select(
+        "id", F.concat(F.lit("https://"), "domain", F.lit("/p/"), k).alias("site"), F.col("domain"), html.alias("html"), mail.alias("mail"), phone.alias("phone"), place.alias("place")
+    )
+
+
+def parsed_pages(spark, sf_dir):
+    return spread(html_pages(spark, sf_dir)).withColumn("page", html.parse("html"))
+
+
+_MAIL_OF_TEXT = S.emails_of("regexp_replace(coalesce(w.homepage_markdown, ''), '[<>&]', ' ', 'g')")
+
+
+@query(f"""SELECT w.id, unnest(list_sort(list_distinct(list_append({_MAIL_OF_TEXT}, {_INJECTED_SQL})))) AS email FROM websites w""")
+def html_emails(spark, sf_dir):
+    return parsed_pages(spark, sf_dir).select("id", F.explode(html.page_emails(F.col("html"), F.col("page"))).alias("email"))
+
+
+@query("""SELECT id, '+1 (780) ' || left(p, 3) || '-' || right(p, 4) AS phone FROM (SELECT id, lpad(CAST(id * 37 % 10000000 AS VARCHAR), 7, '2') AS p FROM websites WHERE domain IS NOT NULL)
+    WHERE NOT regexp_matches('1780' || p, '1234567')""")
+def html_phones(spark, sf_dir):
+    return html.page_phones(parsed_pages(spark, sf_dir).where("domain is not null").withColumn("c", F.lit("ca")), "id", "page", "domain").where("phone like '+1 (780)%'")
+
+
+@query("SELECT id, (id % 300 + 1) || ' Harrow Street, Oldtown, BC V5K 0A' || (id % 10) AS address FROM websites")
+def json_ld_addresses(spark, sf_dir):
+    known = parsed_pages(spark, sf_dir).select("id", "place", F.explode(html.page_addresses(F.col("page"))).alias("address"))
+    return known.where("address = place").select("id", "address")
+
+
+@query()
+def html_addresses(spark, sf_dir):
+    return parsed_pages(spark, sf_dir).select("id", F.explode(html.top_addresses(html.page_addresses(F.col("page")))).alias("address"))
+
+
+@query("SELECT id, CAST(1 AS INT) AS place, 'https://' || domain || '/contact-us' AS contact_url FROM websites WHERE domain IS NOT NULL AND NOT contains(coalesce(homepage_markdown, ''), '<a ')")
+def contact_links(spark, sf_dir):
+    return html.contact_links(parsed_pages(spark, sf_dir).where("domain is not null"), "id", "page", "site")
+
+
+@query("SELECT id, 'https://www.facebook.com/shop' || id AS facebook FROM websites")
+def html_social(spark, sf_dir):
+    return parsed_pages(spark, sf_dir).select("id", F.explode(html.page_social(F.col("html"), F.col("page"), "facebook")).alias("facebook"))
+
+
+@query("SELECT id, '/static/app.js' AS script FROM websites")
+def html_scripts(spark, sf_dir):
+    return parsed_pages(spark, sf_dir).select("id", F.explode(html.script_urls(F.col("page"))).alias("script"))
+
+
+@query()
+def html_text_markdown(spark, sf_dir):
+    return spread(html_pages(spark, sf_dir)).select("id", html.markdown("html").alias("markdown"))
+
+
+@query()
+def crawl_assembly(spark, sf_dir):
+    pages = html_pages(spark, sf_dir).where("domain is not null").select(
+        F.col("domain").alias("site"), F.col("site").alias("url"), F.lit("text/html").alias("content_type"), "html", F.lit(True).alias("is_home"), F.lit(None).cast("string").alias("error")
+    )
+    scripts = table(spark, sf_dir, "websites").where("domain is not null").select(F.col("domain").alias("site"), F.concat(F.lit('x={phone:"(780) 2'), F.lpad((F.col("id") % 1000).cast("string"), 2, "0"), F.lit('-4421"}')).alias("body"))
+    return crawl.assemble(pages, scripts)

@@ -54,5 +54,12 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan with a partition for each core at least: costly row work on a few small files would else
+    leave cores idle. A scan of enough partitions, as any large table's, is not touched."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def data_dir(sf: str) -> str:
     return os.path.join(os.environ.get("TESTDATA_DIR", "/root/testdata"), sf)
