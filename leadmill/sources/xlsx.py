@@ -75,7 +75,7 @@ def write_rows(path: str, header: list[str], rows: Iterator[tuple], sheet: str =
         z.writestr("xl/_rels/workbook.xml.rels", head + f'<Relationships xmlns="{_PACKAGE[1:-1]}"><Relationship Id="rId1" Type="{rel}/worksheet" Target="worksheets/sheet1.xml"/><Relationship Id="rId2" Type="{rel}/styles" Target="styles.xml"/></Relationships>')
         z.writestr("xl/styles.xml", head + f'<styleSheet xmlns="{main}"><fonts count="2"><font/><font><b/></font></fonts><fills count="1"><fill/></fills><borders count="1"><border/></borders><cellStyleXfs count="1"><xf/></cellStyleXfs><cellXfs count="2"><xf/><xf fontId="1" applyFont="1"/></cellXfs></styleSheet>')
         with z.open("xl/worksheets/sheet1.xml", "w", force_zip64=True) as f:
-            widths = "".join(f'<col min="{i}" max="{i}" width="{min(60, max(12, len(h) + 4))}" customWidth="1"/>' for i, h in enumerate(header, 1))
+            widths = "".join(f'<col min="{i}" max="{i}" width="{min(60, max(12, len(h or "") + 4))}" customWidth="1"/>' for i, h in enumerate(header, 1))
             f.write((head + f'<worksheet xmlns="{main}"><sheetViews><sheetView workbookViewId="0"><pane ySplit="1" topLeftCell="A2" state="frozen"/></sheetView></sheetViews><cols>{widths}</cols><sheetData>').encode())
             f.write(_row(1, header, bold=True))
             for count, row in enumerate(rows, 1):
@@ -103,16 +103,15 @@ class _Part(InputPartition):
 
 
 class _Reader(DataSourceReader):
-    def __init__(self, schema: StructType, options: dict) -> None:
-        self.width, self.options = len(schema.fields), options
+    def __init__(self, width: int, path: str, sheet: str | None, header: int) -> None:
+        self.width, self.path, self.sheet, self.header = width, path, sheet, header
 
     def partitions(self):
         return [_Part(0)]
 
     def read(self, _):
-        skip = int(self.options.get("headerRow", "0"))
-        for k, row in enumerate(read_rows(self.options["path"], self.options.get("sheet"))):
-            if k > skip and any(v is not None for v in row):
+        for k, row in enumerate(read_rows(self.path, self.sheet)):
+            if k > self.header and any(v is not None for v in row):
                 yield tuple((row + [None] * self.width)[: self.width])
 
 
@@ -131,7 +130,7 @@ class XlsxSource(DataSource):
         return StructType([])
 
     def reader(self, schema: StructType) -> DataSourceReader:
-        return _Reader(schema, dict(self.options))
+        return _Reader(len(schema.fields), self.options["path"], self.options.get("sheet"), int(self.options.get("headerRow", "0")))
 
 
 def register(spark) -> None:
