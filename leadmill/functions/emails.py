@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from leadmill.functions.text import py_strip, strip_chars
+from leadmill.functions.text import let, py_strip, strip_chars
 
 PLAIN = r"\b[A-Za-z0-9._%+\-]+@[A-Za-z0-9.\-]+\.[A-Za-z]{2,}\b"
 LISTING = r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9.\-]+\.[A-Za-z]{2,}"
@@ -38,23 +38,21 @@ def _any(words: list[str]) -> str:
 
 def is_valid(email: Column, bad_domains: list[str] | None = None) -> Column:
     """Strict validation of one address; the deny-list of domains is a parameter."""
-    e = strip_chars(F.lower(email), ".")
-    user, domain = F.regexp_extract(e, "(?s)^(.*)@([^@]*)$", 1), F.regexp_extract(e, "(?s)^(.*)@([^@]*)$", 2)
-    local = F.when(user.startswith("u002f") | user.startswith("\\u002f"), F.replace(F.replace(user, F.lit("u002f"), F.lit("")), F.lit("\\u002f"), F.lit(""))).otherwise(user)
-    label = F.substring_index(domain, ".", -1)
     denied = _any(BAD_DOMAINS if bad_domains is None else bad_domains)
-    return F.coalesce(
-        F.contains(email, F.lit("@"))
-        & ~domain.rlike(r"^[1-4]x\.(png|jpg|jpeg|webp|gif|svg|webm)$")
-        & ~label.isin(BAD_LABELS)
-        & ~local.rlike("^[0-9a-f]{20,64}$")
-        & ~local.rlike(f"^({_any(BAD_PREFIXES)})")
-        & ~domain.rlike(rf"(^|\.)({denied})$")
-        & F.contains(domain, F.lit("."))
-        & (F.length(label) >= 2)
-        & F.length(local).between(2, 64),
-        F.lit(False),
-    )
+
+    def parts(e: Column) -> Column:
+        return F.struct(F.regexp_extract(e, "(?s)^(.*)@", 1).alias("user"), F.substring_index(e, "@", -1).alias("domain"))
+
+    def rules(p: Column) -> Column:
+        user, domain = p["user"], p["domain"]
+        local = F.when(user.rlike(r"^\\?u002f"), F.replace(F.replace(user, F.lit("u002f"), F.lit("")), F.lit("\\u002f"), F.lit(""))).otherwise(user)
+        return (
+            domain.rlike(r"\.[^.]{2,}$")
+            & ~domain.rlike(rf"^[1-4]x\.(png|jpg|jpeg|webp|gif|svg|webm)$|(^|\.)({_any(BAD_LABELS)})$|(^|\.)({denied})$")
+            & let(local, lambda u: F.length(u).between(2, 64) & ~u.rlike(f"^[0-9a-f]{{20,64}}$|^({_any(BAD_PREFIXES)})"))
+        )
+
+    return F.coalesce(F.contains(email, F.lit("@")) & let(let(strip_chars(F.lower(email), "."), parts), rules), F.lit(False))
 
 
 def deobfuscate(c: Column) -> Column:

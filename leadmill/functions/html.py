@@ -208,24 +208,24 @@ def _has(text: Column, words: list[str]) -> Column:
 
 
 def page_phone_candidates(page: Column) -> Column:
-    """(number, context) candidates: tel links, JSON-LD, and labelled containers with a fitting class."""
-    pair = lambda p, c: F.struct(p.alias("phone"), c.alias("context"))
-    text = page["text"]
+    """Candidates: tel links, JSON-LD, and labelled containers with a fitting class.
+
+    The country of each is told from the text of the page, which holds the containers' texts.
+    """
     tel = F.transform(
         F.filter(page["links"], lambda x: F.trim(x["href"]).startswith("tel:")),
-        lambda x: pair(F.substring_index(F.replace(F.trim(x["href"]), F.lit("tel:"), F.lit("")), "?", 1), text),
+        lambda x: F.substring_index(F.replace(F.trim(x["href"]), F.lit("tel:"), F.lit("")), "?", 1),
     )
-    ld = F.transform(page["ld_phones"], lambda p: pair(p, text))
     tags = ["div", "p", "span", "address", "li", "td", "h4", "h5"]
     boxes = F.filter(page["blocks"], lambda b: b["tag"].isin(tags) & _has(b["hint"], PHONE_CLASSES) & _has(F.lower(b["text"]), PHONE_LABELS))
-    boxed = F.flatten(F.transform(boxes, lambda b: F.transform(phones.candidates(b["text"]), lambda p: pair(p, F.concat_ws(" ", b["text"], text)))))
-    return F.concat(tel, ld, boxed)
+    boxed = F.flatten(F.transform(boxes, lambda b: phones.candidates(b["text"])))
+    return F.array_distinct(F.concat(tel, page["ld_phones"], boxed))
 
 
 def page_phones(df: DataFrame, key: str, page: str, domain: str) -> DataFrame:
     """(key, phone): distinct clean numbers of each page, their country told from the page."""
-    each = df.select(key, domain, F.explode(page_phone_candidates(F.col(page))).alias("c"))
-    each = each.select(key, F.col("c.phone").alias("phone"), phones.country_hint(F.col("c.context"), F.col(domain)).alias("hint"))
+    hint = phones.country_hint(F.col(f"{page}.text"), F.col(domain))
+    each = df.select(key, hint.alias("hint"), F.explode(page_phone_candidates(F.col(page))).alias("phone"))
     return phones.with_clean_phone(each, "phone", "hint", "clean").where("clean is not null").select(key, F.col("clean").alias("phone")).distinct()
 
 

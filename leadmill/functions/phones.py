@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leadmill.functions.text import py_strip
+from leadmill.functions.text import let, py_strip
 
 #: Dummy numbers, Canadian area codes, provinces, states.
 DUMMIES = ["2597462153", "26921562148", "310259121563", "1234567890", "0000000000", "9999999999", "1111111111", "1234567"]
@@ -37,11 +35,6 @@ def country_hint(context: Column, domain: Column) -> Column:
     )
 
 
-def _let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use`` of a value that is computed once, however often it is named."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def clean_phone(phone: Column, hint: Column, fallback: str = "ca") -> Column:
     """A number with its country code, formatted; null for what is no number.
 
@@ -73,7 +66,7 @@ def clean_phone(phone: Column, hint: Column, fallback: str = "ca") -> Column:
 
     bare = py_strip(F.regexp_replace(py_strip(phone), "(?i)^(tel:|phone:|call:|call us:)", ""))
     digits = F.regexp_replace(F.regexp_replace(bare, r"(?U)[^\d+]", ""), "^00", "+")
-    return _let(digits, lambda a: _let(zero(a), lambda b: _let(full(b), shown)))
+    return let(digits, lambda a: let(zero(a), lambda b: let(full(b), shown)))
 
 
 def with_clean_phone(df: DataFrame, phone: str, hint: str, out: str, fallback: str = "ca") -> DataFrame:

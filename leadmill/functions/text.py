@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,6 +13,11 @@ PANDAS_NA = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan
 EXCEL_LIMIT, EXCEL_SUFFIX = 32000, " ...[truncated, see CSV for full text]"
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often it is named."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def py_strip(c: Column) -> Column:
     """Strip all Unicode white space, non-breaking spaces too (``trim`` only takes blanks)."""
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")

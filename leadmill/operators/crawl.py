@@ -34,7 +34,7 @@ def assemble(pages: DataFrame, scripts: DataFrame, bad_domains: list[str] | None
     domain = F.regexp_replace(F.lower("site"), r"^www\.", "")
     of_page = {
         "emails": html.page_emails(text, page, bad_domains),
-        "phones": F.transform(html.page_phone_candidates(page), lambda c: phones.clean_phone(c["phone"], phones.country_hint(c["context"], F.col("domain")))),
+        "phones": F.transform(html.page_phone_candidates(page), lambda p: phones.clean_phone(p, F.col("hint"))),
         "addresses": html.page_addresses(page),
         **{p: html.page_social(text, page, p) for p in SOCIAL},
     }
@@ -45,7 +45,8 @@ def assemble(pages: DataFrame, scripts: DataFrame, bad_domains: list[str] | None
         **{p: social.from_text(body, p) for p in SOCIAL},
     }
     parsed = spread(fit.select("site", "html", domain.alias("domain"))).withColumn("page", html.parse("html"))
-    facts = _stack(parsed, "site", of_page).unionByName(_stack(scripts, "site", of_script)).where("value is not null").distinct()
+    hinted = parsed.withColumn("hint", phones.country_hint(F.col("page.text"), F.col("domain")))
+    facts = _stack(hinted, "site", of_page).unionByName(_stack(scripts, "site", of_script)).where("value is not null").distinct()
     kinds = ["emails", "phones", "addresses", *SOCIAL]
     sets = facts.groupBy("site").agg(*[F.array_sort(F.collect_list(F.when(F.col("kind") == k, F.col("value")))).alias(k) for k in kinds])
     counts = pages.groupBy("site").agg(F.count("*").alias("pages_crawled"), F.min("error").alias("error_message"))
