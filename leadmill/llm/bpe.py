@@ -28,6 +28,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from leadmill.session import spread
+
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The public pattern that goes with the vocabulary (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -213,7 +215,7 @@ def _mapped(df: DataFrame, keep: list[str], text_col: str, vocabulary: str, coun
 
     made = "n_tokens bigint" if count_only else "ids array<int>"
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields] + [made])
-    return slim.mapInArrow(run, schema)
+    return spread(slim).mapInArrow(run, schema)
 
 
 def encode_table(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:

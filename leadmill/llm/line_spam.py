@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from leadmill.session import spread
+
 #: A text is a case beyond this share of its characters.
 CASE_SHARE = 0.5
 #: The few shapes: this many must hold FEW_SHARE of all non-sentence characters.
@@ -199,4 +201,4 @@ def find_line_spam(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             keep = pa.array([is_case(t) for t in batch.column(1).to_pylist()], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep)], names=[id_col])
 
-    return slim.mapInArrow(run, f"`{id_col}` bigint")
+    return spread(slim).mapInArrow(run, f"`{id_col}` bigint")

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leadmill.llm.page_lines import CHROME, kind_of, plain
+from leadmill.session import spread
 
 # --- slots ------------------------------------------------------------------
 
@@ -328,4 +329,4 @@ def find_residue(df: DataFrame, id_col: str = "id", page_col: str = "homepage_ma
                     fields.append(message_col)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(fields, pa.string())], names=["id", "field"])
 
-    return slim.mapInArrow(run, "id bigint, field string")
+    return spread(slim).mapInArrow(run, "id bigint, field string")
