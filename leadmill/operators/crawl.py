@@ -18,8 +18,9 @@ from leadmill.session import spread
 def _stack(df: DataFrame, site: str, sets: dict[str, Column]) -> DataFrame:
     """(site, kind, value) of several arrays in one pass; ``site`` is the name of that column."""
     each = F.array(*[F.struct(F.lit(k).alias("kind"), v.cast("array<string>").alias("l")) for k, v in sets.items()])
-    stacked = df.select(site, F.explode(each).alias("s"))
-    return stacked.select(site, "s.kind", F.explode("s.l").alias("value"))
+    # the outer form: explode() would have its array computed once more for an inferred filter
+    stacked = df.select(site, F.explode_outer(each).alias("s"))
+    return stacked.select(site, "s.kind", F.explode_outer("s.l").alias("value"))
 
 
 def assemble(pages: DataFrame, scripts: DataFrame, bad_domains: list[str] | None = None) -> DataFrame:
