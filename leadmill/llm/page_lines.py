@@ -47,6 +47,8 @@ _BETWEEN = re.compile(r"\s*(?:[|·•/]|\s[-–—]\s|\s>\s|\s»\s|\s›\s)\s*")
 _CRUMBS = re.compile(r"^(?:home|startseite|inicio|accueil)\s*(?:[>»›/→]|::)\s*\S", re.IGNORECASE)
 _PHONE_STRIP = re.compile(r"^\W*[☎📞✆]")
 _COPY = re.compile(r"^\W*(?:©|\(c\)|copyright\b|&copy;)|©|\(c\)\s.*\d{4}|all rights reserved|alle rechte vorbehalten|todos los derechos reservados|tous droits réservés", re.IGNORECASE)
+#: A firm's name and a year alone.
+_NAME_AND_YEAR = re.compile(r"^(?:[^\W\d_a-zà-ÿ][\w'’&.-]*\s+){1,7}(?:19|20)\d\d(?:\s*[-–]\s*(?:19|20)\d\d)?\.?$")
 _MADE_WITH = re.compile(r"^(?:powered by|built with|made with|website by|site by|web design by|designed by|theme by|erstellt mit|hecho con|creado con|réalisé (?:par|avec)|site réalisé)\b", re.IGNORECASE)
 _OWNED = re.compile(
     r"^(?:all (?:texts?|contents?|pictures|images)|everything (?:shown|on this site)|the contents? of th|logos? and (?:photo|pict|im)|texts and pictures|no part of th|alle (?:texte|inhalte)|todos los (?:textos|contenidos)|tous les (?:textes|contenus))"
@@ -123,6 +125,20 @@ def _chain(text: str, known: frozenset[str]) -> bool:
 #: Longer lines without links are no chrome of any kind known here.
 LONGEST_CHROME = 260
 _CHAINED = MENU | LEGAL | BUTTONS
+_FIRST = frozenset(n.split(" ")[0] for n in _CHAINED)
+
+
+#: Words and marks of which a line of some length without links must hold one to be chrome of a kind known here.
+_SIGN_WORDS = frozenset(
+    """cookie cookies files tools trackers tracking device dispositivo appareil fichiers archivos gerät privacy javascript script scripts scripting copyright
+    reserved vorbehalten reservados réservés powered built made website site designed theme erstellt hecho creado réalisé protected copied property owner owners
+    publisher reproduced geschützt eigentum protegidos propiedad protégés propriété notice share follow tag tags filed posted teilen folgen schlagwörter compartir
+    síganos etiquetas partager suivez clés newsletter tips offers news email mail inbox updates spam unsubscribe speichert verwendet nutzt""".split()
+)
+_SIGN_MARKS = ("|", "·", "•", "☎", "📞", "✆", "©", "»", "›", "@", "(c)", ": ", " / ", " > ", " – ", " — ", " - ", "::", "→")
+_LOWER_WORDS = re.compile(r"[a-zà-ÿ]+")
+_TIME = re.compile(r"\d\s*[:.h]\s*\d\d|\d\s*(?:am|pm|uhr)\b")
+SHORT = 70
 
 
 @lru_cache(maxsize=100_000)
@@ -131,11 +147,23 @@ def kind_of(line: str) -> str:
     s = line.strip()
     if not s:
         return "blank"
-    if len(s) > LONGEST_CHROME and "](" not in s:
-        return "open"
+    if len(s) > SHORT and "](" not in s:
+        if len(s) > LONGEST_CHROME or not _may_be_chrome(s):
+            return "open"
     return _kind(s, plain(s))
 
 
+def _may_be_chrome(s: str) -> bool:
+    low = s.lower()
+    return (
+        not _SIGN_WORDS.isdisjoint(_LOWER_WORDS.findall(low)) or low.endswith(")") or any(m in low for m in _SIGN_MARKS) or _first(s) in _FIRST or bool(_TIME.search(low))
+    )
+
+
+def _first(s: str) -> str:
+    return _MARK.sub("", s).split(" ", 1)[0].lower()
+
+
 def _kind(s: str, text: str) -> str:
     low = text.lower().rstrip(" :")
     if low in SECTIONS:
@@ -154,6 +182,8 @@ def _kind(s: str, text: str) -> str:
         return "crumbs"
     if _COPY.search(s) and len(s) < 160:
         return "copyright"
+    if not s.startswith(("#", ">", "*", "-", "+")) and _NAME_AND_YEAR.match(text):
+        return "copyright"
     if _MADE_WITH.match(text) and len(s) < 60 or _OWNED.match(text):
         return "copyright"
     if _COOKIES.search(text):

@@ -40,8 +40,16 @@ _HTML = frozenset(
 )
 _SLOT = re.compile(
     rf"\{{\{{\s*{_NAME}(?:\s*\|\s*\w+)?\s*\}}\}}|\{{%-?\s*{_NAME}\s*-?%\}}|<%=?\s*{_NAME}\s*%>|[$#]?\{{\$?{_NAME}\}}"
-    rf"|%%{_NAME}%%|@@{_NAME}@@|__[A-Za-z]\w*?__|#[A-Z][A-Z_]*#|%[A-Za-z][\w.]*%|%\(\w+\)[sdrif]|\$[a-z_]\w*\b"
-    rf"|\[\[\s*{_NAME}\s*\]\]|\b[A-Z]+(?:_[A-Z]+)*_(?:GOES_)?HERE\b"
+    rf"|%%{_NAME}%%|@@{_NAME}@@|__[A-Za-z]\w*?__|#[A-Z][A-Z0-9_]*#|%[A-Za-z][\w.]*%|%\(\w+\)[sdrif]|\$[a-z_]\w*\b"
+    rf"|\[\[\s*{_NAME}\s*\]\]|\b[A-Z]+(?:_[A-Z]+)*_(?:GOES_)?HERE\b|\*\|\w+\|\*|\[%\s*{_NAME}\s*%\]|\$\[{_NAME}\]|\(\(\s*{_NAME}\s*\)\)|~{_NAME}~"
+    r"|\b(?:YOUR|INSERT|ENTER|ADD)(?: [A-Z0-9]+){1,4} HERE\b"
+)
+#: Quoted in guillemets, only names of what a template asks for are slots.
+_GUILLEMETS = re.compile(r"[«‹]\s*([A-Za-z][\w.]*(?:[ _][\w.]+){0,2})\s*[»›]")
+_SLOT_NAMES = frozenset(
+    """name phone telephone email mail city suburb town state country address street postcode zip title owner tagline slogan service product company business
+    site contact herotext hero year founded date url link text logo headline heading subtitle description image price category number first last reason status
+    code message error host target seconds exception detail website domain brand location region""".split()
 )
 _PRINTF = re.compile(r"(?<![\w%])%[sdr](?!\w)")
 _BRACKETS = re.compile(r"\[+([^\[\]\n]{1,60})\](?!\()")
@@ -57,12 +65,15 @@ _MENTION = re.compile(
 
 def has_slot(text: str) -> bool:
     """Whether a text holds a slot nobody filled."""
-    if not ("{" in text or "%" in text or "[" in text or "<" in text or "@@" in text or "__" in text or "#" in text or "$" in text or "_HERE" in text):
+    if not ("{" in text or "%" in text or "[" in text or "<" in text or "@@" in text or "__" in text or "#" in text or "$" in text or "HERE" in text or "«" in text or "‹" in text or "|*" in text or "((" in text or "~" in text):
         return False
     for pattern in (_SLOT, _PRINTF):
         for m in pattern.finditer(text):
             if not _MENTION.search(text[: m.start()]):
                 return True
+    for m in _GUILLEMETS.finditer(text):
+        if not _SLOT_NAMES.isdisjoint(re.findall(r"[a-z]+", m.group(1).lower())) and not _MENTION.search(text[: m.start()]):
+            return True
     for m in _BRACKETS.finditer(text):
         inner = m.group(1).strip()
         if (_IDENTIFIER.match(inner) and inner.lower() not in _NO_SLOT) or _ASKED.match(inner):
@@ -91,12 +102,12 @@ _LATIN = frozenset(
 )
 _FILLER = re.compile(
     r"\bdummy (?:text|copy|content)\b|\bplaceholder (?:text|copy|content|image)\b|\b(?:sample|example|demo) (?:paragraph|text|content|testimonial|heading|page|post)\b"
-    r"|\b(?:text ){2,}text\b|\b(?:bla[ ,.]+){2,}|\b(?:blah[ ,.]+){2,}|\bfoo bar\b|\basdf\b|\bqwerty\b|^x{3,}\b.*\bx{3,}\b|\b(?:test[ ,.]+){2,}(?:\S+ )?test\b|^(?:test ?){2,}$"
+    r"|\b(?:text ){2,}text\b|\b(?:bla[ ,.]+){2,}|\b(?:blah[ ,.]+){2,}|\bfoo bar\b|\basdf\b|\bqwerty\b|^([a-z])\1*(?:[ ,.;:]+\1+){3,}\W*$|^x{3,}\b.*\bx{3,}\b|\b(?:test[ ,.]+){2,}(?:\S+ )?test\b|^(?:test ?){2,}$"
     r"|\b(?:sub)?title goes here\b|\bgoes here\b|\b(?:feature|service|product|section|slide|card) (?:title|heading|name) (?:one|two|three|\d|<\*>)|\bshort text that\b"
     r"|\bwaiting for (?:content|text)\b|\bdouble-?click to\b|\bclick (?:here )?to edit\b|\bedit this (?:block|text|area|section|column|paragraph|page|post)\b"
     r"|\bthis (?:block|area|section|column|paragraph|text) (?:is (?:a|for|reserved|empty|waiting)|to )|\buse this (?:block|area|section|column|space|paragraph)\b"
     r"|\bthis is (?:a|your|the) (?:very )?(?:first|sample|example|default|demo|placeholder|test)\b|\bedit or (?:remove|delete) it\b|\bstart writing\b|\b(?:hello,? )(?:world|new site)\b"
-    r"|\breplace (?:it|this) with (?:a|your)\b|\breplace the (?:demo|sample|placeholder|dummy)\b|\bbefore you publish\b|\bmax\. (?:<\*>|\d+) characters\b"
+    r"|\breplace (?:it|this) with (?:a|your)\b|\breplace the (?:demo|sample|placeholder|dummy)\b|\bbefore you publish\b|\bmax\. (?:<\*>|\d+) (?:characters|words|zeichen|caracteres|caractères)\b"
     r"|^(?:please )?(?:add|enter|insert|put|write|type|place|paste) (?:a|an|the|your|some|three|two|few|<\*>)\b.*\b(?:here|(?:this|the) (?:column|block|area|section|box|field|page)|publish|characters|demo text|choose you|your (?:shop|team|company|business|visitors|customers))\b"
     r"|^(?:enter|insert|add|type) (?:error )?(?:text|title|heading|content|message|description)\b|^(?:add|enter|insert) (?:a|your) (?:sub)?(?:heading|title|text|caption|tagline|headline)\b"
     r"|^describe (?:your|the|this)\b.*\b(?:sentences?|here|words|service|business|product)\b|^keep it short\b|\btell (?:your )?visitors what you do\b|\bmake it catchy\b|^your (?:text|headline|title|subtitle|heading|logo|slogan|content|message) (?:goes )?here\b"
@@ -141,22 +152,45 @@ _QUOTED_MENTION = re.compile(r"\b(?:like|such as|called|headings?|say|says|still
 
 _ONLY_NAMES = re.compile(r"^(?:<N>|<\*>|[^\w<>]|\s)+$")
 
+_LOWER_WORDS = re.compile(r"[a-zà-ÿ]+")
+#: A word of one letter over and over.
+_ONE_LETTER = re.compile(r"\b([a-z])\1{2,}\b")
+#: Words of which filler has one at least. A line without any falls on templates of ordinary text.
+_FILLER_SIGNS = frozenset(w for w in _LATIN if len(w) > 4) | frozenset(
+    """dummy placeholder sample example demo text bla blah foo asdf qwerty test tests subtitle title goes heading name short waiting
+    double-click doubleclick click edit block area section column paragraph space first default delete remove writing world site replace publish characters
+    here keep visitors catchy headline logo slogan content message hier platzhalter platzhaltertext blindtext beispieltext mustertext texto aquí texte ici tbd tba todo
+    description caption tagline page post choose shop team company business customers box field describe""".split()
+)
+#: The same for notices and error pages: a text without any of these words is neither.
+_NOTICE_SIGNS = frozenset(
+    """java javascript javascripts script scripts scripting cookies checking verify verifying moment loading visit automated why reload seconds allow
+    properly human robot captcha ddos""".split()
+)
+_ERROR_SIGNS = frozenset(
+    """page missing wrong denied application bandwidth connect hostname requests temporarily find lives suspended gateway unavailable server found forbidden
+    unauthorized gone http error status fehler show resource busy address certificate unexpected refused reach answer permission upstream search home owner
+    contact moved typed unable try configured condition requested restarted down seite gefunden serverfehler adresse verweigert página encontrada interno
+    solicitud acceso introuvable erreur serveur accès fatal stack thrown uncaught srv line""".split()
+)
+
 ORDINARY, FILLER, NOTICE, ERROR, BESIDE = "ordinary", "filler", "notice", "error", "beside"
 
 
 def classify(template: str) -> str:
     """The verdict on one template."""
-    words = re.findall(r"[a-zA-Z]+", template)
-    low = [w.lower() for w in words]
+    lower = template.lower()
+    low = re.findall(r"[a-z]+", lower)
+    said = frozenset(_LOWER_WORDS.findall(lower))
     if len(low) >= 3 and sum(w in _LATIN for w in low) >= 0.7 * len(low) and any(w in _LATIN and len(w) > 4 for w in low):
         return FILLER
-    if _FILLER.search(template) and not _QUOTED_MENTION.search(template):
+    if (not _FILLER_SIGNS.isdisjoint(said) or "n.n." in lower or _ONE_LETTER.search(lower)) and _FILLER.search(template) and not _QUOTED_MENTION.search(template):
         return FILLER
     # long sentences that mention such things are prose about them
     if len(template) <= 170:
-        if _NOTICE.search(template):
+        if not _NOTICE_SIGNS.isdisjoint(said) and _NOTICE.search(template):
             return NOTICE
-        if _ERROR.search(template):
+        if (not _ERROR_SIGNS.isdisjoint(said) or template[:1] in "#[" or any(c.isdigit() for c in template)) and _ERROR.search(template):
             return ERROR
     if _BESIDE.search(template) or (len(low) <= 8 and _ONLY_NAMES.match(template)):
         return BESIDE
@@ -199,7 +233,7 @@ class PrefixTree:
                 self.words.clear()
             if _VARIABLE.search(word):
                 known = _MASK
-            elif not any(c.isalpha() for c in word) or any(w in _LOOKED_AT for w in re.findall(r"[a-zà-ÿ]+", word.lower())):
+            elif not any(c.isalpha() for c in word) or len({c for c in word.lower() if c.isalpha()}) == 1 or any(w in _LOOKED_AT for w in re.findall(r"[a-zà-ÿ]+", word.lower())):
                 known = word
             else:
                 ending = _ENDING.search(word)
@@ -228,7 +262,14 @@ class PrefixTree:
 
 _tree = PrefixTree()
 
-_SENTENCE = re.compile(r"(?<=[.!?…])[\"”’)*_]*\s+")
+
+
+def may_be_filler(line: str) -> bool:
+    """Whether any sentence of a line could get the verdict filler."""
+    low = line.lower()
+    return not _FILLER_SIGNS.isdisjoint(_LOWER_WORDS.findall(low)) or "n.n." in low or bool(_ONE_LETTER.search(low))
+
+_SENTENCE = re.compile(r"(?<=[.!?…])(?<!max\.)(?<!min\.)(?<!incl\.)(?<!e\.g\.)(?<!approx\.)[\"”’)*_]*\s+")
 
 
 # --- pages and messages -----------------------------------------------------
@@ -260,12 +301,14 @@ def page_is_case(blocks: list[list[tuple[int, str]]], chrome: list[bool]) -> boo
     for block, beside in zip(blocks, chrome):
         if beside:
             # the heading of an error page may look like a counted link
-            if len(block) == 1 and _tree.verdict(plain(block[0][1])) in (ERROR, NOTICE) and kind_of(block[0][1]) in ("counted", "menu"):
+            if len(block) == 1 and kind_of(block[0][1]) in ("counted", "menu") and _tree.verdict(plain(block[0][1])) in (ERROR, NOTICE):
                 said += 1
             continue
         for _, line in block:
             if has_slot(line):
                 return True
+            if real and not may_be_filler(line):
+                continue
             for sentence in _SENTENCE.split(plain(line)):
                 verdict = _tree.verdict(sentence)
                 if verdict == FILLER:

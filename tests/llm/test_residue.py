@@ -8,9 +8,9 @@ from leadmill.llm.residue import has_slot, message_is_case, page_text_is_case
 BODY = "# Baker · Oldtown\n\nWe bake bread for the whole street, and you can order by noon.\n\nAsk for rye rolls by name."
 CHROME = "[Home](/home) | [Contact](/contact)\n\n"
 SLOTS = ["Welcome to {{name}}", "Call ${phone} now", "At {% city %} we", "About <%= owner %>", "%%city%% baker", "@@email@@", "__CITY__ baker", "#TAGLINE#",
-         "[INSERT CITY]", "[Your Company Name]", "<your suburb>", "[owner] and sons", "{site.title}", "%(url)s failed", "%s failed after %d attempts", "[[phone]]", "MESSAGE_GOES_HERE"]
+         "[INSERT CITY]", "[Your Company Name]", "<your suburb>", "[owner] and sons", "{site.title}", "%(url)s failed", "%s failed after %d attempts", "[[phone]]", "MESSAGE_GOES_HERE", "Our promise: «City»", "Welcome to YOUR CITY HERE", "#SERVICE_1#", "*|CITY|*"]
 NO_SLOTS = ["Prices marked [incl. tax] are final", "Some parts [see the note in the workshop] are kept", "tags such as {{first_name}} are filled", "costs $500, 9 % off",
-            "[Home](/home)", "unexpected '{' at char 9", "[Errno 111] Connection refused", "C# and #sale", "a < b and c > d", "<b>bold</b>"]
+            "[Home](/home)", "unexpected '{' at char 9", "[Errno 111] Connection refused", "C# and #sale", "a < b and c > d", "<b>bold</b>", "Il a dit « bonjour »"]
 
 
 @pytest.mark.parametrize("text", SLOTS)
@@ -27,7 +27,7 @@ def test_no_slot(text):
     "text",
     [
         CHROME + BODY + "\n\n" + filler
-        for filler in ["Lorem ipsum dolor sit amet, consectetur elit.", "Your subtitle goes here.", "bla bla bla", "Click here to edit this text.", "Hier steht Ihr Text.", "{{city}} baker"]
+        for filler in ["Lorem ipsum dolor sit amet, consectetur elit.", "Your subtitle goes here.", "bla bla bla", "Click here to edit this text.", "Hier steht Ihr Text.", "{{city}} baker", "nnnn n nn nnnnnn nnn.", "Write your services (max. 90 characters)."]
     ]
     + [
         CHROME + "404 Not Found\n\nTry the search box or go back to the home page.",
