@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 from leadmill.functions import dates, emails, html, phones, social, status, text, urls
 from leadmill.operators import columns, crawl, dedupe, exports, state
 from leadmill.operators.packed_fields import unpack_fields
+from leadmill.plans import catalog_listings
 from leadmill.plans import sql_parts as S
 from leadmill.session import spread, table
 
@@ -645,3 +646,7 @@ def crawl_assembly(spark, sf_dir):
     )
     scripts = table(spark, sf_dir, "websites").where("domain is not null").select(F.col("domain").alias("site"), F.concat(F.lit('x={phone:"(780) 2'), F.lpad((F.col("id") % 1000).cast("string"), 2, "0"), F.lit('-4421"}')).alias("body"))
     return crawl.assemble(pages, scripts)
+
+
+QUERIES.update(catalog_listings.QUERIES)
+SQL.update(catalog_listings.SQL)
