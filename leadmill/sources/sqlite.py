@@ -44,6 +44,8 @@ class _Reader(DataSourceReader):
         return [_Range(a, min(a + step, high + 1)) for a in range(low, high + 1, step)]
 
     def read(self, partition):
+        if partition is None:  # an empty table has no ranges
+            return
         low, high = partition.value
         columns = ", ".join(_named(n) for n, _ in self.types)
         with closing(_connect(self.path)) as c:
