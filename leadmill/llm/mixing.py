@@ -12,7 +12,8 @@ at each node the left half's counts are drawn from the multivariate hypergeometr
 distribution, so that every shard is a fair sample of the mix without any global shuffle of
 rows. Shards draw disjoint runs of each source's permuted blocks and shuffle locally.
 
-The driver only handles block counts: (sources x blocks) numbers, a bound set by parameters.
+The driver only handles block counts and places: (targets x repeats x blocks) entries at most, a bound set by
+parameters and targets, not by the data.
 
 Defined results
 ---------------
@@ -38,7 +39,7 @@ from leadmill.session import materialize
 
 BLOCKS, SUB_BLOCKS = 1024, 1024
 SHARD_TOKENS = 1_000_000
-MAX_TARGETS = 10_000
+MAX_TARGETS = 1_000
 
 
 @dataclass(frozen=True)
