@@ -202,9 +202,6 @@ def status_reattach(spark, sf_dir):
     return leads(spark, sf_dir).select("lead_id", "website").join(one.select("lead_id", "code", "available"), "lead_id", "left")
 
 
-_SCORED = ["Title", "Website", "Mobile Number", "Available"]
-
-
 def _score_sql(c: str) -> str:
     s = S.strip("v")
     tested = f"CASE WHEN regexp_matches(lower({s}), '^(http://|https://|www\\.)') THEN {s} ELSE 'https://' || {s} END"
@@ -454,7 +451,7 @@ def progress_last(spark, sf_dir):
 _JOIN = "FROM websites w LEFT JOIN extracted_results r ON w.id = r.website_id"
 _WIDE_SQL = (
     "SELECT w.id, coalesce(strftime(w.scraped_at, '%Y-%m-%d %H:%M:%S'), '') AS timestamp, coalesce(w.url, '') AS website, "
-    + ", ".join(f"coalesce(({S.from_labeled(S.strip('r.email') if False else 'r.email')})[{i}], '') AS \"email {i}\"" for i in range(1, 11))
+    + ", ".join(f"coalesce(({S.from_labeled('r.email')})[{i}], '') AS \"email {i}\"" for i in range(1, 11))
     + ", " + ", ".join(f"coalesce(CAST(r.{c} AS VARCHAR), '') AS {c}" for c in ("phone", "address"))
     + ", " + ", ".join(f"coalesce(CAST(w.{c} AS VARCHAR), '') AS {c}" for c in ("domain_created_at", "domain_expires_at", "domain_age_days", "homepage_markdown"))
     + ", " + ", ".join(f"coalesce(r.{c}, '') AS {c}" for c in exports.SOCIAL)
@@ -480,9 +477,6 @@ def excel_safe(spark, sf_dir):
 
 # --- scalars ---------------------------------------------------------------------------------
 
-_T = "regexp_replace(t, '\\s+', ' ', 'g')"
-
-
 @query(f"""
     WITH a AS (SELECT lead_id, {S.strip('"Timings"')} AS t FROM final_output),
     b AS (SELECT lead_id, replace(replace(replace(t, ' ', ' '), ' ', ' '), ':00', '') AS t FROM a),
@@ -535,9 +529,6 @@ def whois_age(spark, sf_dir):
     )
 
 
-_LEGACY = "CASE WHEN id % 3 = 0 THEN NULL WHEN id % 3 = 1 THEN round(id / 365.0, 1) || ' years (' || id || ' days)' ELSE 'some years' END"
-
-
 @query("SELECT id, coalesce(CASE WHEN id % 2 = 0 THEN domain_age_days END, CASE WHEN id % 3 = 1 THEN CAST(id AS INT) END) AS domain_age_days FROM websites")
 def migrate_legacy_age(spark, sf_dir):
     k = F.col("id")
@@ -605,7 +596,7 @@ def html_emails(spark, sf_dir):
 @query("""SELECT id, '+1 (780) ' || left(p, 3) || '-' || right(p, 4) AS phone FROM (SELECT id, lpad(CAST(id * 37 % 10000000 AS VARCHAR), 7, '2') AS p FROM websites WHERE domain IS NOT NULL)
     WHERE NOT regexp_matches('1780' || p, '1234567')""")
 def html_phones(spark, sf_dir):
-    return html.page_phones(parsed_pages(spark, sf_dir).where("domain is not null").withColumn("c", F.lit("ca")), "id", "page", "domain").where("phone like '+1 (780)%'")
+    return html.page_phones(parsed_pages(spark, sf_dir).where("domain is not null"), "id", "page", "domain").where("phone like '+1 (780)%'")
 
 
 @query("SELECT id, (id % 300 + 1) || ' Harrow Street, Oldtown, BC V5K 0A' || (id % 10) AS address FROM websites")
