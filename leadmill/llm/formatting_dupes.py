@@ -201,3 +201,10 @@ def collapse(df: DataFrame, id_col: str, field_a: str, field_b: str) -> DataFram
     single = rows.where("not may_repeat").select("id", F.lit(1).cast("bigint").alias("n_copies"))
     grouped = rows.where("may_repeat").groupBy("key").agg(F.min("id").alias("id"), F.count("*").alias("n_copies"))
     return single.unionByName(grouped.select("id", "n_copies"))
+
+
+def collapse_all(df: DataFrame, id_col: str, field_a: str, field_b: str) -> DataFrame:
+    """(id, n_copies): collapse() and each record without both fields as a singleton of its own."""
+    a, b = F.col(f"`{field_a}`").cast("string"), F.col(f"`{field_b}`").cast("string")
+    alone = df.where(~(is_given(a) & is_given(b))).select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.lit(1).cast("bigint").alias("n_copies"))
+    return collapse(df, id_col, field_a, field_b).unionByName(alone)

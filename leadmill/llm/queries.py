@@ -57,7 +57,7 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p5_collapsed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = formatting_dupes.collapse(table(spark, sf_dir, "final_output"), "lead_id", "Website", "Mobile Number")
+    records = formatting_dupes.collapse_all(table(spark, sf_dir, "final_output"), "lead_id", "Website", "Mobile Number")
     return records.withColumnRenamed("id", "lead_id")
 
 

@@ -47,6 +47,13 @@ def test_collapse_counts(spark):
     assert got == {1: 3, 4: 1, 5: 3, 7: 1, 11: 2, 14: 2}
 
 
+def test_records_without_both_fields_are_singletons(spark):
+    df = spark.createDataFrame(ROWS, SCHEMA)
+    got = sorted(map(tuple, fd.collapse_all(df, "lead_id", "Website", "Mobile Number").collect()))
+    assert got == sorted({1: 3, 4: 1, 5: 3, 7: 1, 8: 1, 9: 1, 10: 1, 11: 2, 13: 1, 14: 2}.items())
+    assert sum(n for _, n in got) == len(ROWS)
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert fd.copies(df, "lead_id", "Website", "Mobile Number").count() == 0
