@@ -3,19 +3,20 @@
 1. Every page is parsed once: its lines, the blocks of lines between blank lines, for each block
    whether a line in it is chrome by itself (menus, notices, sidebars, footers), and for each line
    a token: its template without numbers, names and link targets.
-2. Pages are pooled by host. Hosts with less than POOL_SHARE of all pages are one pool, so there
-   are at most 1 / POOL_SHARE + 1 pools, whatever the number of hosts. In each pool, tokens with
+2. Pages are pooled by host: a host with HOST_PAGES pages or more is a pool, all other hosts
+   are one pool together. Both bounds, and the support, are fixed numbers: they do not move with the size of the
+   crawl. In each pool, tokens with
    the same occurrence vector over its pages (same count and same sums of page hashes) and
    the same role form an equivalence class. A class is valid with enough support, and chrome if its occurrences lie in
-   chrome blocks; the verdict holds for its tokens wherever they stand. The valid chrome classes,
-   nested by support and place, are the template of the pool.
+   chrome blocks; the verdict holds for its tokens wherever they stand. A token without support in its host's own pool
+   has the verdict of the common pool.
 3. Blocks of template lines are dropped; what remains in the slots is the main body.
 
 Pages whose body is template residue (see ``residue``) give no rows.
 
 Scale: one parse in Arrow batches, one table of arrays in the shared folder, one shuffle of
-pre-aggregated token counts. The set of chrome tokens sent to all tasks has at most MAX_TOKENS
-entries, since a token needs the support of total lines / MAX_TOKENS at least.
+pre-aggregated token counts. Nothing is broadcast or collected: pools meet pages, and chrome tokens meet the
+lines outside chrome blocks, by shuffled joins whose keys are salted.
 
 Defined results
 ---------------
@@ -28,7 +29,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -38,9 +38,11 @@ from leadmill.llm.page_lines import template
 from leadmill.llm.residue import blocks_of, is_chrome, page_is_case
 from leadmill.session import materialize, spread
 
-POOL_SHARE = 0.01
+#: Pages of a host for a pool of its own, and occurrences of a token for a verdict.
+HOST_PAGES = 5
 MIN_SUPPORT = 5
-MAX_TOKENS = 500_000
+#: Parts of each join key, so that a host or line found on a large part of all pages is no hot spot.
+SALTS = 16
 #: Share of a class's occurrences in chrome blocks, and of a token's own.
 CLASS_CHROME, TOKEN_CHROME = 0.8, 0.5
 
@@ -60,7 +62,7 @@ def token_of(line: str) -> int:
 
 
 def parse(pages: DataFrame) -> DataFrame:
-    """(page_table, id, host, numbers, blocks, chrome, tokens) of each page (page_table, id, host, text) that is no residue."""
+    """(page_table, id, host, numbers, blocks, chrome, tokens, row) of each page (page_table, id, host, text) that is no residue."""
     schema = "page_table string, id bigint, host string, numbers array<int>, blocks array<int>, chrome array<boolean>, tokens array<bigint>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,28 +97,32 @@ def parse(pages: DataFrame) -> DataFrame:
                 names=["page_table", "id", "host", "numbers", "blocks", "chrome", "tokens"],
             )
 
-    return spread(pages.select("page_table", "id", "host", "text").where("text is not null")).mapInArrow(run, schema)
+    parsed = spread(pages.select("page_table", "id", "host", "text").where("text is not null")).mapInArrow(run, schema)
+    return parsed.withColumn("row", F.monotonically_increasing_id())
+
+
+def salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str) -> DataFrame:
+    """left (with ``row``) joined to the smaller side right, each key cut into SALTS parts."""
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    salted = left.withColumn("salt", F.pmod(F.hash("row"), F.lit(SALTS)))
+    return salted.join(right.withColumn("salt", salts), [*on, "salt"], how).drop("salt")
 
 
 def pooled(parsed: DataFrame) -> DataFrame:
-    """The parsed pages with ``pool``: the host if it has a fair share of all pages, else one pool for the rest."""
-    hosts = parsed.groupBy("host").count()
-    total = parsed.count()
-    large = [r.host for r in hosts.where(F.col("count") >= max(1.0, POOL_SHARE * total)).collect() if r.host is not None]
-    return parsed.withColumn("pool", F.when(F.col("host").isin(large), F.col("host")).otherwise(F.lit("")))
+    """The parsed pages with ``pool``: the host if it has enough pages, else one pool for the rest."""
+    large = parsed.where("host <> ''").groupBy("host").count().where(F.col("count") >= HOST_PAGES)
+    return salted_join(parsed, large.select("host", F.col("host").alias("pool")), ["host"], "left").withColumn("pool", F.coalesce("pool", F.lit("")))
 
 
-def token_classes(pages: DataFrame) -> DataFrame:
-    """(pool, token, n, chrome_n, place, class_n, class_size, class_chrome): supported tokens and the class of each."""
-    total = pages.agg(F.sum(F.size("tokens"))).first()[0] or 0
-    support = max(MIN_SUPPORT, -(-total // MAX_TOKENS))
+def token_counts(pages: DataFrame) -> DataFrame:
+    """(pool, token, n, chrome_n, mix, total, place) of every token."""
     lines = pages.select(
         "pool",
         F.xxhash64("page_table", "id").alias("page"),
         F.size("tokens").alias("length"),
         F.posexplode(F.arrays_zip("tokens", "chrome")).alias("at", "line"),
     )
-    tokens = (
+    return (
         lines.groupBy("pool", F.col("line.tokens").alias("token"))
         .agg(
             F.count("*").alias("n"),
@@ -125,8 +131,12 @@ def token_classes(pages: DataFrame) -> DataFrame:
             F.sum(F.pmod("page", F.lit(1 << 31))).alias("total"),
             F.avg(F.col("at") / F.col("length")).alias("place"),
         )
-        .where(F.col("n") >= support)
     )
+
+
+def token_classes(counts: DataFrame) -> DataFrame:
+    """(pool, token, n, chrome_n, place, class_n, class_size, class_chrome): supported tokens and the class of each."""
+    tokens = counts.where(F.col("n") >= MIN_SUPPORT)
     # tokens are told apart by the role they mostly have, so that chrome and content on the same pages do not mix
     tokens = tokens.withColumn("role", F.col("chrome_n") * 2 >= F.col("n"))
     classes = tokens.groupBy(*CLASS).agg(F.count("*").alias("class_size"), (F.sum("chrome_n") / F.sum("n")).alias("class_chrome"))
@@ -138,10 +148,21 @@ def chrome_tokens(classes: DataFrame) -> DataFrame:
     return classes.where((F.col("class_chrome") >= CLASS_CHROME) & (F.col("chrome_n") >= TOKEN_CHROME * F.col("n"))).select("pool", "token")
 
 
+def sought_tokens(counts: DataFrame) -> DataFrame:
+    """(pool, token) of chrome tokens that also stand outside chrome blocks; for tokens without support in
+    their host's pool, the common pool decides."""
+    outside = F.col("chrome_n") < F.col("n")
+    found = chrome_tokens(token_classes(counts))
+    common = found.where("pool = ''").select("token")
+    rare = counts.where((F.col("pool") != "") & (F.col("n") < MIN_SUPPORT) & outside).select("pool", "token")
+    own = found.join(counts.where(outside).select("pool", "token"), ["pool", "token"], "left_semi")
+    return own.unionByName(rare.join(common, "token", "left_semi").select("pool", "token"))
+
+
 def templates(pages: DataFrame) -> DataFrame:
     """(pool, class_support, class_size, chrome_share, place): valid classes of chrome, widest first, in the order of the page."""
     return (
-        token_classes(pages)
+        token_classes(token_counts(pages))
         .where(F.col("class_chrome") >= CLASS_CHROME)
         .groupBy(*CLASS)
         .agg(F.count("*").alias("class_size"), F.round(F.first("class_chrome"), 6).alias("chrome_share"), F.round(F.avg("place"), 6).alias("place"))
@@ -152,40 +173,12 @@ def templates(pages: DataFrame) -> DataFrame:
 def body_lines(pages: DataFrame) -> DataFrame:
     """(page_table, id, line_no) of the main body's lines, from pages (page_table, id, host, text)."""
     parsed = pooled(materialize(parse(pages), "parsed-pages"))
-    known: dict[str, np.ndarray] = {}
-    found = chrome_tokens(token_classes(parsed)).toPandas()
-    for pool, part in found.groupby("pool"):
-        known[pool] = np.sort(part["token"].to_numpy(np.int64))
-    sent = parsed.sparkSession.sparkContext.broadcast(known)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        empty = np.zeros(0, np.int64)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            flat = {n: batch.column(n).flatten() for n in ("numbers", "blocks", "chrome", "tokens")}
-            sizes = np.diff(batch.column("tokens").offsets.to_numpy())
-            rows = np.repeat(np.arange(batch.num_rows), sizes)
-            tokens = flat["tokens"].to_numpy()
-            hit = flat["chrome"].to_numpy(zero_copy_only=False).copy()
-            pools = np.asarray(batch.column("pool").to_pylist(), dtype=object)
-            for pool in set(pools):
-                mine = (pools == pool)[rows]
-                hit[mine] |= np.isin(tokens[mine], sent.value.get(pool, empty), assume_unique=False)
-            # a block with any template line is template as a whole
-            blocks = flat["blocks"].to_numpy()
-            starts = np.flatnonzero(np.concatenate([[True], (np.diff(rows) != 0) | (np.diff(blocks) != 0)]))
-            beside = np.repeat(np.logical_or.reduceat(hit, starts), np.diff(np.append(starts, len(rows))))
-            keep = np.flatnonzero(~beside)
-            at = pa.array(rows[keep])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("page_table").take(at),
-                    batch.column("id").take(at),
-                    pa.array(flat["numbers"].to_numpy()[keep].astype(np.int64)),
-                ],
-                names=["page_table", "id", "line_no"],
-            )
-
-    slim = parsed.select("page_table", "id", "pool", "numbers", "blocks", "chrome", "tokens")
-    return slim.mapInArrow(run, "page_table string, id bigint, line_no bigint")
+    needed = (F.col("n") >= MIN_SUPPORT) | ((F.col("pool") != "") & (F.col("chrome_n") < F.col("n")))
+    counts = materialize(token_counts(parsed).where(needed), "token-counts")
+    lines = parsed.select("row", "pool", F.explode(F.arrays_zip("tokens", "blocks", "chrome")).alias("line")).where("not line.chrome")
+    lines = lines.select("row", "pool", F.col("line.tokens").alias("token"), F.col("line.blocks").alias("block"))
+    # a block with any template line is template as a whole
+    hits = salted_join(lines, sought_tokens(counts), ["pool", "token"], "left_semi").groupBy("row").agg(F.collect_set("block").alias("hits"))
+    open_lines = parsed.select("page_table", "id", "row", F.arrays_zip("numbers", "blocks", "chrome").alias("lines")).join(hits, "row", "left")
+    rest = F.filter("lines", lambda x: ~x["chrome"] & ~F.coalesce(F.array_contains("hits", x["blocks"]), F.lit(False)))
+    return open_lines.select("page_table", "id", F.explode(rest).alias("line")).select("page_table", "id", F.col("line.numbers").cast("bigint").alias("line_no"))

@@ -79,6 +79,19 @@ def test_a_class_carries_its_verdict(spark):
     assert any(r.class_support == 9 and r.class_size >= 2 for r in found)
 
 
+def test_pools_and_support_do_not_move_with_the_crawl(spark):
+    chrome = "Newsletter\nWe write once a season to all who bake.\nSubscribe"
+    pages = [f"Page {k} tells of bread and of butter too.\n\n{chrome}" for k in range(5)] + ["Last page tells of bread.\n\nWe write once a season to all who bake."]
+    few = [("websites", k, "a.example", t, "", "") for k, t in enumerate(pages)]
+    # a.example has less than 1 % of the larger crawl, in which the same line is the content of other hosts
+    many = few + [("websites", 100 + k, f"h{k}.example", f"We write once a season to all who bake.\n\nShop {k} sells rolls.", "", "") for k in range(1000)]
+
+    def kept(rows):
+        return {(r.id, r.line_no) for r in boilerplate.body_lines(spark.createDataFrame(rows, SCHEMA)).collect() if r.id < 100}
+
+    assert kept(few) == kept(many) == {(k, 1) for k in range(6)}
+
+
 def test_empty_and_long(spark):
     assert boilerplate.body_lines(spark.createDataFrame([], SCHEMA)).count() == 0
     long = "\n\n".join(f"Line {k} tells of bread and butter." for k in range(20000))
