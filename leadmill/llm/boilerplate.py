@@ -10,7 +10,12 @@
    the same role form an equivalence class. A class is valid with enough support, and chrome if its occurrences lie in
    chrome blocks; the verdict holds for its tokens wherever they stand. A token without support in its host's own pool
    has the verdict of the common pool.
-3. Blocks of template lines are dropped; what remains in the slots is the main body.
+3. The template of a host with HOST_PAGES different pages or more is deduced from recurrence alone: a line is
+   fixed if it stands, word for word, on RECURS of the host's pages or more; all others are slots. A block
+   with more fixed lines than slots is template, whatever its words. Visits of one page count as one
+   page, so its own body does not recur.
+4. Blocks of template lines are dropped; what remains in the slots is the main body. On hosts with
+   too few pages the line rules and the classes of step 2 decide alone.
 
 Pages whose body is template residue (see ``residue``) give no rows.
 
@@ -27,6 +32,7 @@ Defined results
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -43,11 +49,15 @@ HOST_PAGES = 5
 MIN_SUPPORT = 5
 #: Parts of each join key, so that a host or line found on a large part of all pages is no hot spot.
 SALTS = 16
+#: Share of a host's pages on which a line is fixed.
+RECURS = 0.5
 #: Share of a class's occurrences in chrome blocks, and of a token's own.
 CLASS_CHROME, TOKEN_CHROME = 0.8, 0.5
 
 CLASS = ["pool", "n", "mix", "total", "role"]
 
+_SAYS = re.compile(r"[^\W_]")
+
 _tokens: dict[str, int] = {}
 
 
@@ -62,8 +72,12 @@ def token_of(line: str) -> int:
 
 
 def parse(pages: DataFrame) -> DataFrame:
-    """(page_table, id, host, numbers, blocks, chrome, tokens, row) of each page (page_table, id, host, text) that is no residue."""
-    schema = "page_table string, id bigint, host string, numbers array<int>, blocks array<int>, chrome array<boolean>, tokens array<bigint>"
+    """(page_table, id, host, numbers, blocks, chrome, tokens, lines, page, row) of each page (page_table, id, host, text) that is no residue.
+
+    ``page`` tells pages of a host apart: the column of that name if there is one (visits of a page share it), else
+    the text's hash. A line without letters or digits has no hash in ``lines``.
+    """
+    schema = "page_table string, id bigint, host string, numbers array<int>, blocks array<int>, chrome array<boolean>, tokens array<bigint>, lines array<bigint>, page bigint"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -72,6 +86,7 @@ def parse(pages: DataFrame) -> DataFrame:
             block_ids: list[int] = []
             chrome: list[bool] = []
             tokens: list[int] = []
+            lines: list[int | None] = []
             for row, text in enumerate(batch.column(3).to_pylist()):
                 blocks = blocks_of(text)
                 beside = [is_chrome(b) for b in blocks]
@@ -83,6 +98,8 @@ def parse(pages: DataFrame) -> DataFrame:
                         block_ids.append(k)
                         chrome.append(c)
                         tokens.append(token_of(line))
+                        bare = line.strip()
+                        lines.append(xxhash.xxh64_intdigest(bare) - (1 << 63) if _SAYS.search(bare) else None)
                 kept.append(row)
                 offsets.append(len(numbers))
             at, where = pa.array(kept, pa.int64()), pa.array(offsets, pa.int32())
@@ -93,11 +110,14 @@ def parse(pages: DataFrame) -> DataFrame:
                     pa.ListArray.from_arrays(where, pa.array(block_ids, pa.int32())),
                     pa.ListArray.from_arrays(where, pa.array(chrome, pa.bool_())),
                     pa.ListArray.from_arrays(where, pa.array(tokens, pa.int64())),
+                    pa.ListArray.from_arrays(where, pa.array(lines, pa.int64())),
+                    batch.column(4).take(at),
                 ],
-                names=["page_table", "id", "host", "numbers", "blocks", "chrome", "tokens"],
+                names=["page_table", "id", "host", "numbers", "blocks", "chrome", "tokens", "lines", "page"],
             )
 
-    parsed = spread(pages.select("page_table", "id", "host", "text").where("text is not null")).mapInArrow(run, schema)
+    page = F.xxhash64("page" if "page" in pages.columns else "text").alias("page")
+    parsed = spread(pages.select("page_table", "id", "host", "text", page).where("text is not null")).mapInArrow(run, schema)
     return parsed.withColumn("row", F.monotonically_increasing_id())
 
 
@@ -170,15 +190,28 @@ def templates(pages: DataFrame) -> DataFrame:
     )
 
 
+def fixed_blocks(parsed: DataFrame) -> DataFrame:
+    """(row, block): blocks that the deduced templates of the hosts with enough pages hold as fixed."""
+    own = parsed.where("pool <> ''").select("row", "pool", "page", F.arrays_zip("lines", "blocks", "chrome").alias("found"))
+    large = own.groupBy("pool").agg(F.count_distinct("page").alias("pages")).where(F.col("pages") >= HOST_PAGES)
+    own = own.select("row", "pool", "page", F.explode("found").alias("at")).where("not at.chrome and at.lines is not null")
+    own = own.select("row", "pool", "page", F.col("at.lines").alias("line"), F.col("at.blocks").alias("block"))
+    counted = own.groupBy("pool", "line").agg(F.count_distinct("page").alias("n")).where(F.col("n") >= RECURS * HOST_PAGES)
+    fixed = counted.join(large, "pool").where(F.col("n") >= RECURS * F.col("pages")).select("pool", "line", F.lit(1).alias("fixed"))
+    votes = salted_join(own, fixed, ["pool", "line"], "left").groupBy("row", "block").agg(F.count("fixed").alias("fixed"), F.count("*").alias("n"))
+    return votes.where(F.col("fixed") * 2 > F.col("n")).select("row", "block")
+
+
 def body_lines(pages: DataFrame) -> DataFrame:
-    """(page_table, id, line_no) of the main body's lines, from pages (page_table, id, host, text)."""
+    """(page_table, id, line_no) of the main body's lines, from pages (page_table, id, host, text and, if known, page)."""
     parsed = pooled(materialize(parse(pages), "parsed-pages"))
     needed = (F.col("n") >= MIN_SUPPORT) | ((F.col("pool") != "") & (F.col("chrome_n") < F.col("n")))
     counts = materialize(token_counts(parsed).where(needed), "token-counts")
     lines = parsed.select("row", "pool", F.explode(F.arrays_zip("tokens", "blocks", "chrome")).alias("line")).where("not line.chrome")
     lines = lines.select("row", "pool", F.col("line.tokens").alias("token"), F.col("line.blocks").alias("block"))
     # a block with any template line is template as a whole
-    hits = salted_join(lines, sought_tokens(counts), ["pool", "token"], "left_semi").groupBy("row").agg(F.collect_set("block").alias("hits"))
+    classed = salted_join(lines, sought_tokens(counts), ["pool", "token"], "left_semi").select("row", "block")
+    hits = classed.unionByName(fixed_blocks(parsed)).groupBy("row").agg(F.collect_set("block").alias("hits"))
     open_lines = parsed.select("page_table", "id", "row", F.arrays_zip("numbers", "blocks", "chrome").alias("lines")).join(hits, "row", "left")
     rest = F.filter("lines", lambda x: ~x["chrome"] & ~F.coalesce(F.array_contains("hits", x["blocks"]), F.lit(False)))
     return open_lines.select("page_table", "id", F.explode(rest).alias("line")).select("page_table", "id", F.col("line.numbers").cast("bigint").alias("line_no"))

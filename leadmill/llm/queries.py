@@ -27,11 +27,12 @@ def p3_buildings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The pages of both tables, each with the host of its URL."""
+    """The pages of both tables, each with the host of its URL and the host and path, which tell pages apart."""
     host = F.regexp_extract(F.lower("url"), r"^\s*(?:[a-z][a-z0-9+.\-]*:)?/*(?:www\.)?([^/?#\s:]*)", 1)
+    page = F.regexp_extract(F.lower("url"), r"^\s*(?:[a-z][a-z0-9+.\-]*:)?/*(?:www\.)?([^?#\s]*?)/*(?:[?#\s]|$)", 1)
     return spark_union(
         table(spark, sf_dir, name).select(
-            F.lit(name).alias("page_table"), F.col("id").cast("bigint").alias("id"), host.alias("host"), F.col("homepage_markdown").alias("text")
+            F.lit(name).alias("page_table"), F.col("id").cast("bigint").alias("id"), host.alias("host"), page.alias("page"), F.col("homepage_markdown").alias("text")
         )
         for name in ("websites", "extracted_results")
     )

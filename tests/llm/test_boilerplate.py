@@ -92,6 +92,18 @@ def test_pools_and_support_do_not_move_with_the_crawl(spark):
     assert kept(few) == kept(many) == {(k, 1) for k in range(6)}
 
 
+def test_recurrence_decides_without_listed_words(spark):
+    foot = "Zum Wohle aller Imker im Tal seit jeher.\nGestiftet vom Bund der Waben."
+    shared = "| Sorte | Preis |\n| --- | --- |"
+    pages = [f"Honig Nummer {k} schmeckt nach Linde.\n\n{shared}\n| Glas {k} | {k} |\n| Fass {k} | {k}0 |\n\n{foot}" for k in range(6)]
+    rows = [("websites", k, "imker.example", t, "", "", f"imker.example/{k}") for k, t in enumerate(pages)]
+    # five visits of one page are one page: its body is kept
+    rows += [("websites", 10 + k, "one.example", f"{foot}\n\nBesuch {k}.", "", "", "one.example") for k in range(5)]
+    df = spark.createDataFrame(rows, SCHEMA + ", page string")
+    got = {(r.id, r.line_no) for r in boilerplate.body_lines(df).collect()}
+    assert got == {(k, n) for k in range(6) for n in (1, 3, 4, 5, 6)} | {(10 + k, n) for k in range(5) for n in (1, 2, 4)}
+
+
 def test_empty_and_long(spark):
     assert boilerplate.body_lines(spark.createDataFrame([], SCHEMA)).count() == 0
     long = "\n\n".join(f"Line {k} tells of bread and butter." for k in range(20000))
