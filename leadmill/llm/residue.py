@@ -153,14 +153,16 @@ _QUOTED_MENTION = re.compile(r"\b(?:like|such as|called|headings?|say|says|still
 _ONLY_NAMES = re.compile(r"^(?:<N>|<\*>|[^\w<>]|\s)+$")
 
 _LOWER_WORDS = re.compile(r"[a-zà-ÿ]+")
-#: A word of one letter over and over.
-_ONE_LETTER = re.compile(r"\b([a-z])\1{2,}\b")
+#: A word of one letter over and over, words of one letter, or of "test" alone.
+_ONE_LETTER = re.compile(r"\b([a-z])\1{2,}\b|\b([a-z])\2*(?:[ ,.;:]+\2+){3,}|^(?:test ?){2,}$")
 #: Words of which filler has one at least. A line without any falls on templates of ordinary text.
 _FILLER_SIGNS = frozenset(w for w in _LATIN if len(w) > 4) | frozenset(
     """dummy placeholder sample example demo text bla blah foo asdf qwerty test tests subtitle title goes heading name short waiting
     double-click doubleclick click edit block area section column paragraph space first default delete remove writing world site replace publish characters
     here keep visitors catchy headline logo slogan content message hier platzhalter platzhaltertext blindtext beispieltext mustertext texto aquí texte ici tbd tba todo
-    description caption tagline page post choose shop team company business customers box field describe""".split()
+    description caption tagline page post choose shop team company business customers box field describe
+    words zeichen caracteres caractères characters subheading do folgt introduzca inserte añada votre ihr ihren texto relleno muestra remplissage faux insérez saisissez
+    écrivez ajoutez fügen geben""".split()
 )
 #: The same for notices and error pages: a text without any of these words is neither.
 _NOTICE_SIGNS = frozenset(
@@ -206,7 +208,7 @@ _MASK, _NAME_MASK, _WORD_MASK = "<*>", "<N>", "<w>"
 _LOOKED_AT = (
     frozenset(re.findall(r"[a-zà-ÿ]+", " ".join(p.pattern.replace("\\b", " ").lower() for p in (_FILLER, _NOTICE, _ERROR, _BESIDE, _QUOTED_MENTION))))
     | _LATIN
-    | {"javascript", "javascripts"}
+    | {"javascript", "javascripts", "subheading", "platzhaltertext", "doubleclick"}
 ) - {"w", "s"}
 _CODE = re.compile(r"\W*[45]\d\d\W*")
 
@@ -233,7 +235,7 @@ class PrefixTree:
                 self.words.clear()
             if _VARIABLE.search(word):
                 known = _MASK
-            elif not any(c.isalpha() for c in word) or len({c for c in word.lower() if c.isalpha()}) == 1 or any(w in _LOOKED_AT for w in re.findall(r"[a-zà-ÿ]+", word.lower())):
+            elif not any(c.isalpha() for c in word) or len({c for c in word.lower() if c.isalpha()}) == 1 or _ONE_LETTER.search(word.lower()) or any(w in _LOOKED_AT for w in re.findall(r"[a-zà-ÿ]+", word.lower())):
                 known = word
             else:
                 ending = _ENDING.search(word)
@@ -266,7 +268,7 @@ _tree = PrefixTree()
 
 def may_be_filler(line: str) -> bool:
     """Whether any sentence of a line could get the verdict filler."""
-    low = line.lower()
+    low = plain(line).lower()
     return not _FILLER_SIGNS.isdisjoint(_LOWER_WORDS.findall(low)) or "n.n." in low or bool(_ONE_LETTER.search(low))
 
 _SENTENCE = re.compile(r"(?<=[.!?…])(?<!max\.)(?<!min\.)(?<!incl\.)(?<!e\.g\.)(?<!approx\.)[\"”’)*_]*\s+")

@@ -69,6 +69,14 @@ def test_message_no_case(text):
     assert not message_is_case(text)
 
 
+@pytest.mark.parametrize("text", ["max. 30 words", "max. 30 Zeichen", "máx. o max. 30 caracteres", "max. 30 caractères", "Add a subheading", "To do", "x x x x x", "aa aa aa aa", "Insérez ici", "Faux texte", "testtest"])
+def test_prefilter_rejects_no_filler(text):
+    assert residue._FILLER.search(text)
+    assert residue.may_be_filler(text)
+    assert residue.classify(text) == residue.FILLER
+    assert page_text_is_case(CHROME + BODY + "\n\n" + text)
+
+
 def test_template_verdicts_do_not_depend_on_order():
     texts = ["Please enable JavaScript to view this website.", "Error 503: the service is busy", "Acme Baking in Oldtown is open.", "Lorem ipsum dolor sit amet."]
     first, second = residue.PrefixTree(), residue.PrefixTree()
