@@ -10,6 +10,7 @@ from leadmill.functions import urls
 from leadmill.functions.dates import legacy_age
 from leadmill.functions.text import py_strip
 from leadmill.operators.dedupe import keep_first
+from leadmill.session import materialize
 
 STATUSES = ["pending", "processing", "completed", "failed", "no_data"]
 
@@ -35,8 +36,12 @@ def new_urls(incoming: DataFrame, url: str, ord_col: str, websites: DataFrame) -
 
 
 def _numbered(df: DataFrame, order: str) -> DataFrame:
-    """Rows with ``n`` from 1 in an order: counts of range partitions first, then within each."""
-    parted = df.repartitionByRange(F.col(order)).withColumn("__part", F.spark_partition_id())
+    """Rows with ``n`` from 1 in an order: counts of range partitions first, then within each.
+
+    The partition of each row is written down once; evaluated a second time, adaptive execution could cut the
+    ranges in another way, and the counts would not fit the rows.
+    """
+    parted = materialize(df.repartitionByRange(F.col(order)).withColumn("__part", F.spark_partition_id()), "numbered")
     sizes = parted.groupBy("__part").agg(F.count("*").alias("__size"))
     before = sizes.withColumn(
         "__before", F.coalesce(F.sum("__size").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

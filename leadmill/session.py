@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -30,19 +31,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share.
+    """The folder all executors share, with a part of its own for this application.
 
-    ``spark.checkpoint.dir`` of the session is used; only where it is unset (as in
-    tests on one machine) a temporary folder of this machine is made and set.
+    ``spark.checkpoint.dir`` of the session is used. Only where it is unset and all executors are threads of
+    this process (as in tests) a temporary folder is made and set; on a cluster a machine's own folder would lose
+    what other machines write, so an unset folder is an error there. What is written is deleted when the driver ends.
     """
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
         current = spark.sparkContext.getCheckpointDir()
         where = current.rsplit("/", 1)[0] if current else None
     if not where:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         where = "file://" + tempfile.mkdtemp(prefix="leadmill-")
         spark.conf.set("spark.checkpoint.dir", where)
-    return where.rstrip("/")
+    own = f"{where.rstrip('/')}/leadmill-{spark.sparkContext.applicationId}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(own)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return own
+
+
+def release(spark: SparkSession) -> None:
+    """Delete what this application has materialized; DataFrames that read it can't be used any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
