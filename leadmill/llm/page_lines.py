@@ -60,7 +60,7 @@ _COOKIES = re.compile(
     r"^(?:we|we and \S+ partners?|this (?:site|website|page|shop|store)|our (?:site|website|page|shop|store|partners?)|the (?:site|website))\b[^.!?]{0,40}"
     r"\b(?:use|uses|may set|set|sets|store|stores|rel(?:y|ies) on|place|places|keep|save)\b[^.!?]{0,40}\b(?:cookies?|text files|small files|similar tools|trackers|tracking|local storage)\b"
     r"|^(?:by (?:clicking|continuing|staying|using)\b.*\b(?:you|cookies?|device)\b)"
-    r"|^some cookies are (?:needed|required|necessary)\b|^your privacy matters to us\b|\bchoose which cookies\b|^cookies (?:help|let|allow) us\b"
+    r"|^some cookies are (?:needed|required|necessary)\b|^your privacy matters to us\b|^cookies (?:help|let|allow) us\b"
     r"|^wir (?:verwenden|nutzen|setzen)\b.*\bcookies\b|^diese (?:web)?(?:site|seite)\s.*\b(?:speichert|verwendet|nutzt)\b"
     r"|^(?:usamos|utilizamos)\s.*\bcookies\b|^est[ea] (?:sitio|web|página)\b.*\b(?:guarda|usa|utiliza)\b.*\b(?:cookies|archivos|dispositivo)\b"
     r"|^nous utilisons\s.*\bcookies\b|^ce site\b.*\b(?:enregistre|utilise|dépose)\b.*\b(?:cookies|fichiers)\b",
@@ -75,9 +75,15 @@ _SOFT_SCRIPT = re.compile(
 )
 _SHARE = re.compile(r"^(?:share (?:this|on)|follow us|tags?|filed under|posted in|teilen|folgen sie uns|schlagwörter|compartir|síganos|etiquetas|partager|suivez-nous|mots-clés)\b[^:]{0,20}:", re.IGNORECASE)
 _MORE = re.compile(r"\[(?:read more|continue reading|more|more »|read on|weiterlesen|mehr|leer más|seguir leyendo|lire la suite|en savoir plus)[^\]]{0,6}\]\([^)]*\)\W*$", re.IGNORECASE)
-_SIGN_UP = re.compile(r"^(?:sign up for|subscribe to|receive|get|join)\b.*\b(?:newsletter|tips|offers|news|e-?mail|inbox|updates|spam)\b|\bno spam\b|\bunsubscribe\b", re.IGNORECASE)
+_SIGN_UP = re.compile(r"(?:sign up for|subscribe to|receive|get|join)\b[^.!?]*\b(?:newsletter|tips|offers|news|e-?mail|inbox|updates|spam)\b", re.IGNORECASE)
+_UNSUBSCRIBE = re.compile(r"\bno spam\b|\bunsubscribe\b", re.IGNORECASE)
+_CHOOSE_COOKIES = re.compile(r"\bchoose which cookies\b", re.IGNORECASE)
+_MORE_TEXT = re.compile(r"[.!?]\s+\S")
+#: One of these literals is in every text that _COPY finds.
+_COPY_SIGNS = ("©", "(c)", "copyright", "&copy;", "all rights reserved", "vorbehalten", "reservados", "réservés")
 _HOURS = re.compile(r"^(?:mon|tue|wed|thu|fri|sat|sun|mo|di|mi|do|fr|sa|so|lun|mar|mié|mie|jue|vie|sáb|sab|dom|mer|jeu|ven|sam|dim)[a-zäöüéá]*\.?(?:\s*(?:-|–|to|bis|a|au|and|und|y|et|,)\s*[a-zäöüéá]+\.?)*\s*:?\s*(?:\d{1,2}[:.h]\d{2}|\d{1,2}\s*(?:am|pm|uhr)|closed|geschlossen|cerrado|fermé)", re.IGNORECASE)
 _PHONE_LINE = re.compile(r"^(?:phone|tel|telephone|t|fax|f|mobile|m|call|ph|telefon|teléfono|téléphone)\b\.?\s*:?\s*[+(\d][\d ().\-/+]{6,}$", re.IGNORECASE)
+_ONLY_COUNT = re.compile(r"^\W*\d+\W*$")
 _COUNTED = re.compile(r"\(\d+\)\s*$|\)\s*\(\d+\)$|\(\d+\)\]")
 
 
@@ -110,35 +116,19 @@ def _names(text: str, known: frozenset[str]) -> bool:
 
 
 def _chain(text: str, known: frozenset[str]) -> bool:
-    """Whether words set apart by single spaces can be read as at least two known names."""
+    """Whether words set apart by single spaces can be read as at least two known names (of four words at most)."""
     words = text.split(" ")
-    if not 2 <= len(words) <= 40:
-        return False
     reach = {0: 0}
     for end in range(1, len(words) + 1):
         for start in range(max(0, end - 4), end):
             if start in reach and " ".join(words[start:end]) in known:
                 reach[end] = max(reach.get(end, 0), reach[start] + 1)
+        if end >= 4 and not any(k in reach for k in range(end - 3, end + 1)):
+            return False
     return reach.get(len(words), 0) >= 2
 
 
-#: Longer lines without links are no chrome of any kind known here.
-LONGEST_CHROME = 260
 _CHAINED = MENU | LEGAL | BUTTONS
-_FIRST = frozenset(n.split(" ")[0] for n in _CHAINED)
-
-
-#: Words and marks of which a line of some length without links must hold one to be chrome of a kind known here.
-_SIGN_WORDS = frozenset(
-    """cookie cookies files tools trackers tracking device dispositivo appareil fichiers archivos gerät privacy javascript script scripts scripting copyright
-    reserved vorbehalten reservados réservés powered built made website site designed theme erstellt hecho creado réalisé protected copied property owner owners
-    publisher reproduced geschützt eigentum protegidos propiedad protégés propriété notice share follow tag tags filed posted teilen folgen schlagwörter compartir
-    síganos etiquetas partager suivez clés newsletter tips offers news email mail inbox updates spam unsubscribe speichert verwendet nutzt""".split()
-)
-_SIGN_MARKS = ("|", "·", "•", "☎", "📞", "✆", "©", "»", "›", "@", "(c)", ": ", " / ", " > ", " – ", " — ", " - ", "::", "→")
-_LOWER_WORDS = re.compile(r"[a-zà-ÿ]+")
-_TIME = re.compile(r"\d\s*[:.h]\s*\d\d|\d\s*(?:am|pm|uhr)\b")
-SHORT = 70
 
 
 @lru_cache(maxsize=100_000)
@@ -147,28 +137,16 @@ def kind_of(line: str) -> str:
     s = line.strip()
     if not s:
         return "blank"
-    if len(s) > SHORT and "](" not in s:
-        if len(s) > LONGEST_CHROME or not _may_be_chrome(s):
-            return "open"
     return _kind(s, plain(s))
 
 
-def _may_be_chrome(s: str) -> bool:
-    low = s.lower()
-    return (
-        not _SIGN_WORDS.isdisjoint(_LOWER_WORDS.findall(low)) or low.endswith(")") or any(m in low for m in _SIGN_MARKS) or _first(s) in _FIRST or bool(_TIME.search(low))
-    )
-
-
-def _first(s: str) -> str:
-    return _MARK.sub("", s).split(" ", 1)[0].lower()
-
-
 def _kind(s: str, text: str) -> str:
+    """The kind of a stripped line; conditions in front of patterns hold wherever the pattern can match."""
     low = text.lower().rstrip(" :")
+    whole = s.lower()
     if low in SECTIONS:
         return "section"
-    if _IMAGE.match(s):
+    if s[0] in "![<" and _IMAGE.match(s):
         return "logo"
     if low in MENU:
         return "menu"
@@ -180,32 +158,32 @@ def _kind(s: str, text: str) -> str:
         return "strip"
     if _CRUMBS.match(text):
         return "crumbs"
-    if _COPY.search(s) and len(s) < 160:
+    if any(sign in whole for sign in _COPY_SIGNS) and _COPY.search(s):
         return "copyright"
     if not s.startswith(("#", ">", "*", "-", "+")) and _NAME_AND_YEAR.match(text):
         return "copyright"
-    if _MADE_WITH.match(text) and len(s) < 60 or _OWNED.match(text):
+    if _MADE_WITH.match(text) and not _MORE_TEXT.search(text) or _OWNED.match(text):
         return "copyright"
-    if _COOKIES.search(text):
+    if _COOKIES.match(text) or "cookies" in low and _CHOOSE_COOKIES.search(text):
         return "cookies"
-    if _SOFT_SCRIPT.search(text):
+    if _SOFT_SCRIPT.match(text):
         return "script"
-    if _SHARE.match(text):
+    if ":" in text and _SHARE.match(text):
         return "share"
-    if _MORE.search(s):
+    linked = "](" in s
+    if linked and _MORE.search(s):
         return "teaser"
-    if _SIGN_UP.search(text) and len(s) < 140:
+    if _SIGN_UP.match(text) or ("no spam" in low or "unsubscribe" in low) and _UNSUBSCRIBE.search(text):
         return "newsletter"
-    links = _LINK.findall(s)
-    if links:
+    if linked and _LINK.search(s):
         rest = _LINK.sub("", _MARK.sub("", s)).strip(" |·•/-–—>»›#*")
-        if not rest or _COUNTED.search(s) and len(rest) < 8:
+        if not rest or _ONLY_COUNT.match(rest):
             return "links"
     if _HOURS.match(text):
         return "hours"
     if _PHONE_LINE.match(text):
         return "phone"
-    if _COUNTED.search(s) and len(s) < 60:
+    if ")" in s and _COUNTED.search(s) and not _MORE_TEXT.search(text):
         return "counted"
     if _names(text, _CHAINED):
         return "menu"

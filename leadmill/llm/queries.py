@@ -28,14 +28,16 @@ def p3_buildings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pages of both tables, each with the host of its URL and the host and path, which tell pages apart."""
-    host = F.regexp_extract(F.lower("url"), r"^\s*(?:[a-z][a-z0-9+.\-]*:)?/*(?:www\.)?([^/?#\s:]*)", 1)
+    host = residue.host_of(F.col("url"))
     page = F.regexp_extract(F.lower("url"), r"^\s*(?:[a-z][a-z0-9+.\-]*:)?/*(?:www\.)?([^?#\s]*?)/*(?:[?#\s]|$)", 1)
+    section = F.regexp_extract(page, r"^[^/]*/([^/]+)/", 1)
     return spark_union(
         table(spark, sf_dir, name).select(
-            F.lit(name).alias("page_table"), F.col("id").cast("bigint").alias("id"), host.alias("host"), page.alias("page"), F.col("homepage_markdown").alias("text")
+            F.lit(name).alias("page_table"), F.col("id").cast("bigint").alias("id"), host.alias("host"), page.alias("page"),
+            F.when(section != "", section).alias("section"), F.col("homepage_markdown").alias("text"),
         )
         for name in ("websites", "extracted_results")
-    )
+    )
 
 
 def spark_union(parts) -> DataFrame:
@@ -50,7 +52,7 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p4_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return boilerplate.templates(boilerplate.pooled(boilerplate.parse(_pages(spark, sf_dir))))
+    return boilerplate.page_templates(_pages(spark, sf_dir))
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:

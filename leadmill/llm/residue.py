@@ -1,10 +1,18 @@
 """Template residue and error-page text: unfilled slots, filler, error pages and script notices.
 
-Records are the sentences of a page's main content and the error messages of a crawl. A prefix
-tree of fixed depth (number of tokens, then the first tokens) mines their templates; a token that
-varies (numbers, hosts, slots, names) is a wildcard. Each template is classified once, when it is
-first seen, and its verdict goes to every record that falls on it. Only variable tokens are
-merged, so a verdict does not depend on the order of records or on the partition they are in.
+Records are the sentences of pages' main content and of a crawl's error messages. Their templates are mined by
+a prefix tree of fixed depth over the whole corpus:
+
+1. one narrow pass reads each page into its records; a token with digits, paths, hosts or slot marks is a wildcard
+   at once, and equal records are counted within the task, then over the cluster;
+2. a leaf of the tree holds the records of one number of tokens and the same first tokens. Records are taken from
+   the most to the least frequent; one that agrees with a template in SIMILAR of its places joins it, and places in which
+   they differ become wildcards. Leaves of more than LEAF_RECORDS distinct records are cut into parts by a hash
+   of the record, and the parts' templates are merged in the leaf;
+3. each merged template is classified once: by what its most frequent record says, or by where it stands: a template
+   found on SPREAD_HOSTS hosts or more, hardly ever beside other content, stands in place of pages;
+4. the verdicts that are not ordinary go back to the records, and from these to their pages, by shuffled joins.
+
 Slots left unresolved inside ordinary records are found separately, in the record itself.
 
 A page is a case if its body has a slot or filler anywhere, or if its body consists of an error
@@ -15,20 +23,26 @@ Defined results
 ---------------
 * null, empty and blank fields are no cases; neither is a page of chrome alone;
 * texts of any length are read whole; repeated rows are judged one by one;
+* records as frequent are taken in alphabetical order, so templates do not depend on partitions or on the order of rows;
 * only the named columns are read; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import operator
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import _parse_datatype_string
 
 from leadmill.llm.page_lines import CHROME, kind_of, plain
-from leadmill.session import spread
+from leadmill.session import materialize, spread
 
 # --- slots ------------------------------------------------------------------
 
@@ -152,125 +166,88 @@ _QUOTED_MENTION = re.compile(r"\b(?:like|such as|called|headings?|say|says|still
 
 _ONLY_NAMES = re.compile(r"^(?:<N>|<\*>|[^\w<>]|\s)+$")
 
-_LOWER_WORDS = re.compile(r"[a-zà-ÿ]+")
-#: A word of one letter over and over, words of one letter, or of "test" alone.
-_ONE_LETTER = re.compile(r"\b([a-z])\1{2,}\b|\b([a-z])\2*(?:[ ,.;:]+\2+){3,}|^(?:test ?){2,}$")
-#: Words of which filler has one at least. A line without any falls on templates of ordinary text.
-_FILLER_SIGNS = frozenset(w for w in _LATIN if len(w) > 4) | frozenset(
-    """dummy placeholder sample example demo text bla blah foo asdf qwerty test tests subtitle title goes heading name short waiting
-    double-click doubleclick click edit block area section column paragraph space first default delete remove writing world site replace publish characters
-    here keep visitors catchy headline logo slogan content message hier platzhalter platzhaltertext blindtext beispieltext mustertext texto aquí texte ici tbd tba todo
-    description caption tagline page post choose shop team company business customers box field describe
-    words zeichen caracteres caractères characters subheading do folgt introduzca inserte añada votre ihr ihren texto relleno muestra remplissage faux insérez saisissez
-    écrivez ajoutez fügen geben""".split()
-)
-#: The same for notices and error pages: a text without any of these words is neither.
-_NOTICE_SIGNS = frozenset(
-    """java javascript javascripts script scripts scripting cookies checking verify verifying moment loading visit automated why reload seconds allow
-    properly human robot captcha ddos""".split()
-)
-_ERROR_SIGNS = frozenset(
-    """page missing wrong denied application bandwidth connect hostname requests temporarily find lives suspended gateway unavailable server found forbidden
-    unauthorized gone http error status fehler show resource busy address certificate unexpected refused reach answer permission upstream search home owner
-    contact moved typed unable try configured condition requested restarted down seite gefunden serverfehler adresse verweigert página encontrada interno
-    solicitud acceso introuvable erreur serveur accès fatal stack thrown uncaught srv line""".split()
-)
-
 ORDINARY, FILLER, NOTICE, ERROR, BESIDE = "ordinary", "filler", "notice", "error", "beside"
 
 
 def classify(template: str) -> str:
-    """The verdict on one template."""
-    lower = template.lower()
-    low = re.findall(r"[a-z]+", lower)
-    said = frozenset(_LOWER_WORDS.findall(lower))
+    """The verdict on one template, by what it says."""
+    low = re.findall(r"[a-z]+", template.lower())
     if len(low) >= 3 and sum(w in _LATIN for w in low) >= 0.7 * len(low) and any(w in _LATIN and len(w) > 4 for w in low):
         return FILLER
-    if (not _FILLER_SIGNS.isdisjoint(said) or "n.n." in lower or _ONE_LETTER.search(lower)) and _FILLER.search(template) and not _QUOTED_MENTION.search(template):
+    if _FILLER.search(template) and not _QUOTED_MENTION.search(template):
         return FILLER
-    # long sentences that mention such things are prose about them
-    if len(template) <= 170:
-        if not _NOTICE_SIGNS.isdisjoint(said) and _NOTICE.search(template):
-            return NOTICE
-        if (not _ERROR_SIGNS.isdisjoint(said) or template[:1] in "#[" or any(c.isdigit() for c in template)) and _ERROR.search(template):
-            return ERROR
-    if _BESIDE.search(template) or (len(low) <= 8 and _ONLY_NAMES.match(template)):
-        return BESIDE
-    return ORDINARY
+    if _NOTICE.search(template):
+        return NOTICE
+    if _ERROR.search(template):
+        return ERROR
+    return BESIDE if _BESIDE.search(template) else ORDINARY
 
 
 # --- the prefix tree --------------------------------------------------------
 
+#: First tokens of a leaf, the share of places in which records of one template agree, and distinct records of a leaf's part.
+DEPTH, SIMILAR, LEAF_RECORDS = 2, 0.75, 50_000
+#: A template on that many hosts at least (by a 64-bit map of host hashes), of whose pages that share has ALONE_RECORDS
+#: records at most, stands in place of pages.
+SPREAD_HOSTS, ALONE_SHARE, ALONE_RECORDS = 8, 0.9, 4
+
 _VARIABLE = re.compile(r"\d|[@/\\]|\w\.[a-z]{2,}\b|[{}<>%$]")
-_ENDING = re.compile(r"[.,;:!?…)\"”]+$")
-_MASK, _NAME_MASK, _WORD_MASK = "<*>", "<N>", "<w>"
-#: All words the verdicts look at. Any other word is a wildcard, names and other words apart.
-_LOOKED_AT = (
-    frozenset(re.findall(r"[a-zà-ÿ]+", " ".join(p.pattern.replace("\\b", " ").lower() for p in (_FILLER, _NOTICE, _ERROR, _BESIDE, _QUOTED_MENTION))))
-    | _LATIN
-    | {"javascript", "javascripts", "subheading", "platzhaltertext", "doubleclick"}
-) - {"w", "s"}
 _CODE = re.compile(r"\W*[45]\d\d\W*")
+_MASK = "<*>"
+#: Marks at the border of words that do not tell templates apart.
+_EDGES = "\"'“”‘’«»()[]*_`"
 
 
-class PrefixTree:
-    """Templates by number of tokens and first tokens; each leaf lists its templates and their verdicts.
+def masked(record: str) -> str:
+    """A record with a wildcard for each token that varies by its kind; a bare status code stays."""
+    if len(record) < 12 and _CODE.fullmatch(record):
+        return record
+    return " ".join([_MASK if _VARIABLE.search(w) else w for w in record.split()])
 
-    A token with digits, paths, hosts or slot marks is variable, and so are names and words that no
-    verdict looks at; a record falls on a template if all its other tokens agree.
-    """
-
-    DEPTH = 3
-    LEAF = 256
-
-    def __init__(self) -> None:
-        self.leaves: dict[tuple, dict[tuple, str]] = {}
-        self.words: dict[str, str] = {}
 
-    def token(self, word: str) -> str:
-        """The word, or a wildcard if it varies or no verdict looks at it."""
-        known = self.words.get(word)
-        if known is None:
-            if len(self.words) > 200_000:
-                self.words.clear()
-            if _VARIABLE.search(word):
-                known = _MASK
-            elif not any(c.isalpha() for c in word) or len({c for c in word.lower() if c.isalpha()}) == 1 or _ONE_LETTER.search(word.lower()) or any(w in _LOOKED_AT for w in re.findall(r"[a-zà-ÿ]+", word.lower())):
-                known = word
-            else:
-                ending = _ENDING.search(word)
-                known = (_NAME_MASK if word.lstrip("(\"“'*>[")[:1].isupper() else _WORD_MASK) + (ending.group() if ending else "")
-            self.words[word] = known
-        return known
-
-    def masked(self, record: str) -> tuple[str, ...]:
-        return tuple(map(self.token, record.split()))
+def is_name(record: str) -> bool:
+    """Whether a record is a heading of names, numbers and marks alone."""
+    words = record.split()
+    return len(words) <= 8 and all(not w.lstrip(_EDGES + "#>-").strip() or not w.lstrip(_EDGES + "#>-")[0].islower() for w in words)
 
-    def verdict(self, record: str) -> str:
-        """The verdict on the template a record falls on; a new template is classified now."""
-        if len(record) < 12 and _CODE.fullmatch(record):
-            return ERROR
-        tokens = self.masked(record)
-        leaf = self.leaves.setdefault((len(tokens), *tokens[: self.DEPTH]), {})
-        found = leaf.get(tokens)
-        if found is None:
-            if len(leaf) >= self.LEAF:
-                leaf.clear()  # only memory: the same template gets the same verdict again
-            found = leaf[tokens] = classify(" ".join(tokens))
-            if len(self.leaves) > 50_000:
-                self.leaves.clear()
-        return found
 
+class PrefixTree:
+    """Templates by number of tokens and first tokens; a leaf lists its templates, wildcards where their records differ.
 
-_tree = PrefixTree()
+    ``add`` puts a record (already masked) on the template it agrees with best, or starts one. Records are to be
+    added from the most to the least frequent; the first of a template stands for it.
+    """
 
+    def __init__(self) -> None:
+        self.leaves: dict[tuple, list[list]] = {}
+
+    @staticmethod
+    def leaf(record: str) -> tuple:
+        words = record.lower().split(" ")
+        return (len(words), *words[:DEPTH])
+
+    def add(self, record: str) -> list:
+        """The template [tokens, first record] a record falls on."""
+        words = record.lower().split(" ")
+        listed = self.leaves.setdefault((len(words), *words[:DEPTH]), [])
+        best, most = None, SIMILAR * len(words)
+        for found in listed:
+            same = sum(map(operator.eq, found[0], words))
+            if same >= most and (best is None or same > most):
+                best, most = found, same
+        if best is None:
+            best = [words, record]
+            listed.append(best)
+        elif most < len(words):
+            best[0] = [a if a == b else _MASK for a, b in zip(best[0], words)]
+        return best
 
+    def verdict(self, record: str) -> str:
+        """The verdict on the template a record falls on now."""
+        return classify(self.add(masked(record))[1])
 
-def may_be_filler(line: str) -> bool:
-    """Whether any sentence of a line could get the verdict filler."""
-    low = plain(line).lower()
-    return not _FILLER_SIGNS.isdisjoint(_LOWER_WORDS.findall(low)) or "n.n." in low or bool(_ONE_LETTER.search(low))
 
+#: Ends of sentences; not behind abbreviations.
 _SENTENCE = re.compile(r"(?<=[.!?…])(?<!max\.)(?<!min\.)(?<!incl\.)(?<!e\.g\.)(?<!approx\.)[\"”’)*_]*\s+")
 
 
@@ -297,81 +274,259 @@ def is_chrome(block: list[tuple[int, str]]) -> bool:
     return any(kind_of(line) in CHROME for _, line in block)
 
 
-def page_is_case(blocks: list[list[tuple[int, str]]], chrome: list[bool]) -> bool:
-    """Whether the body of a page is residue, given its blocks and which of them are chrome."""
-    real = said = 0
+@lru_cache(maxsize=50_000)
+def line_records(line: str) -> tuple[bool, tuple[str, ...], tuple[bool, ...]]:
+    """Whether a line has a slot, its records, and for each whether it can be real content."""
+    sentences = tuple(s for s in _SENTENCE.split(plain(line)) if s.strip())
+    return has_slot(line), sentences, tuple(not is_name(s) for s in sentences)
+
+
+def page_records(blocks: list[list[tuple[int, str]]], chrome: list[bool]) -> tuple[bool, list[str], list[bool]]:
+    """Whether the body of a page has a slot, its records, and for each record whether it can be real content."""
+    slot, found, real = False, [], []
     for block, beside in zip(blocks, chrome):
         if beside:
             # the heading of an error page may look like a counted link
-            if len(block) == 1 and kind_of(block[0][1]) in ("counted", "menu") and _tree.verdict(plain(block[0][1])) in (ERROR, NOTICE):
-                said += 1
+            if len(block) == 1 and kind_of(block[0][1]) in ("counted", "menu"):
+                found.append(plain(block[0][1]))
+                real.append(False)
             continue
         for _, line in block:
-            if has_slot(line):
-                return True
-            if real and not may_be_filler(line):
-                continue
-            for sentence in _SENTENCE.split(plain(line)):
-                verdict = _tree.verdict(sentence)
-                if verdict == FILLER:
-                    return True
-                if verdict in (ERROR, NOTICE):
-                    said += 1
-                elif verdict == ORDINARY:
-                    real += 1
-    return bool(said) and not real
+            unfilled, sentences, contents = line_records(line)
+            slot = slot or unfilled
+            found += sentences
+            real += contents
+    return slot, found, real
+
+
+def message_records(text: str) -> tuple[bool, list[str], bool]:
+    """Whether a message has a slot, its records, and whether it may be what visitors read: not a crawler's diagnosis."""
+    bare = _TAGS.sub("\n", text)
+    found = [s for line in bare.split("\n") for s in _SENTENCE.split(plain(line)) if s.strip()]
+    return has_slot(text), found, bare != text or not _DIAGNOSIS.search(text)
 
 
 def page_text_is_case(text: str | None) -> bool:
+    """The verdict on one page by itself, each record its own template."""
     if not text or text.isspace():
         return False
     blocks = blocks_of(text)
-    return page_is_case(blocks, [is_chrome(b) for b in blocks])
+    slot, found, real = page_records(blocks, [is_chrome(b) for b in blocks])
+    said = [classify(masked(s)) for s in found]
+    return slot or FILLER in said or (not {ERROR, NOTICE}.isdisjoint(said) and not any(v == ORDINARY and r for v, r in zip(said, real)))
 
 
 _TAGS = re.compile(r"</?(?:html|head|title|body|center|h[1-6]|p|br|div|span|hr|pre|b|i)\b[^>]*>", re.IGNORECASE)
 
 
 def message_is_case(text: str | None) -> bool:
-    """Whether an error message is a template, filler, or an error page's words to visitors."""
+    """The verdict on one error message by itself, each record its own template."""
     if not text or text.isspace():
         return False
-    if has_slot(text):
-        return True
-    bare = _TAGS.sub("\n", text)
-    said = 0
-    for line in bare.split("\n"):
-        for sentence in _SENTENCE.split(plain(line)):
-            if not sentence.strip():
-                continue
-            verdict = _tree.verdict(sentence)
-            if verdict == FILLER:
-                return True
-            if verdict in (ERROR, NOTICE):
-                said += 1
-    if not said:
-        return False
-    return bare != text or not _DIAGNOSIS.search(text)
+    slot, found, visitors = message_records(text)
+    said = [classify(masked(s)) for s in found]
+    return slot or FILLER in said or (visitors and not {ERROR, NOTICE}.isdisjoint(said))
 
 
-def find_residue(df: DataFrame, id_col: str = "id", page_col: str = "homepage_markdown", message_col: str = "error_message") -> DataFrame:
-    """(id, field) of the cases: one narrow pass in Arrow batches, without a shuffle."""
-    slim = df.select(
-        F.col(f"`{id_col}`").cast("bigint").alias("id"),
-        F.col(f"`{page_col}`").cast("string").alias("page"),
-        F.col(f"`{message_col}`").cast("string").alias("message"),
-    )
+# --- records of a corpus ------------------------------------------------------
+
+PARSED = "page_table string, id bigint, host string, page bigint, slot boolean, visitors boolean, real int, sayings array<bigint>"
+COUNTED = "record string, key bigint, n bigint, pages bigint, alone bigint, hosts bigint"
+
+
+def key_of(record: str) -> int:
+    """The 63-bit hash of a masked record, as a signed number with its lowest bit free."""
+    return (xxhash.xxh64_intdigest(record) >> 1 << 1) - (1 << 63)
+
+
+class Records:
+    """Counts the records of one task; a table of them is handed out when it is full and at the end."""
+
+    FULL = 200_000
+
+    def __init__(self) -> None:
+        self.stats: dict[str, list[int]] = {}
+        self.keys: dict[str, tuple[str, int]] = {}
+
+    def saying(self, record: str, real: bool, host: int, page: bool, alone: bool) -> int:
+        """Count a record; its key, with the lowest bit set if it can be real content."""
+        known = self.keys.get(record)
+        if known is None:
+            if len(self.keys) > self.FULL:
+                self.keys.clear()
+            m = masked(record)
+            known = self.keys[record] = (m, key_of(m))
+        stat = self.stats.get(known[0])
+        if stat is None:
+            stat = self.stats[known[0]] = [0, 0, 0, 0]
+        stat[0] += 1
+        if page:
+            stat[1] += 1
+            stat[2] += alone
+            stat[3] |= host
+        return known[1] | real
+
+    def page(self, blocks, chrome, host: str | None) -> tuple[bool, bool, int, list[int]]:
+        slot, found, real = page_records(blocks, chrome)
+        bit, alone = 1 << (xxhash.xxh64_intdigest(host or "") & 63), len(found) <= ALONE_RECORDS
+        return slot, True, sum(real), [self.saying(s, r, bit, True, alone) for s, r in zip(found, real)]
+
+    def message(self, text: str) -> tuple[bool, bool, int, list[int]]:
+        slot, found, visitors = message_records(text)
+        return slot, visitors, len(found), [self.saying(s, True, 0, False, False) for s in found]
+
+    def handed_out(self) -> list[pa.Array]:
+        rows = [(r, key_of(r), *v) for r, v in self.stats.items()]
+        self.stats = {}
+        columns = list(zip(*rows)) or [()] * 6
+        signed = [h - (1 << 64) if h >= 1 << 63 else h for h in columns[5]]
+        return [pa.array(columns[0], pa.string()), *(pa.array(c, pa.int64()) for c in columns[1:5]), pa.array(signed, pa.int64())]
+
+
+def parse(rows: DataFrame, extra: str = "", lines_of: Callable | None = None) -> DataFrame:
+    """Rows (page_table, id, host, text, is_message, page) as their records' keys, and rows of counted records (``record`` given).
+
+    ``lines_of(blocks, chrome)`` gives further columns (``extra`` names them) of a page, all arrays of one length.
+    """
+    counted_at = len(PARSED.split(", "))
+    schema = to_arrow_schema(_parse_datatype_string(f"{PARSED}, {COUNTED}{', ' * bool(extra)}{extra}"))
+    kinds = [f.type for f in schema]
+    own = kinds[counted_at + 6 :]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        records = Records()
+
+        def counted() -> pa.RecordBatch:
+            columns = records.handed_out()
+            none = lambda types: [pa.nulls(len(columns[0]), t) for t in types]
+            return pa.RecordBatch.from_arrays([*none(kinds[:counted_at]), *columns, *none(own)], schema=schema)
+
         for batch in batches:
-            ids, fields = [], []
-            for i, page, message in zip(*(c.to_pylist() for c in batch.columns)):
-                if page_text_is_case(page):
-                    ids.append(i)
-                    fields.append(page_col)
-                if message_is_case(message):
-                    ids.append(i)
-                    fields.append(message_col)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(fields, pa.string())], names=["id", "field"])
-
-    return spread(slim).mapInArrow(run, "id bigint, field string")
+            kept, facts, lines = [], [], []
+            for row, (host, text, is_message) in enumerate(zip(*(batch.column(k).to_pylist() for k in (2, 3, 4)))):
+                if not text or text.isspace():
+                    continue
+                kept.append(row)
+                if is_message:
+                    facts.append(records.message(text))
+                    continue
+                blocks = blocks_of(text)
+                chrome = [is_chrome(b) for b in blocks]
+                facts.append(records.page(blocks, chrome, host))
+                if lines_of is not None:
+                    lines.append(lines_of(blocks, chrome))
+            at = pa.array(kept, pa.int64())
+            columns = [pa.array([f[k] for f in facts], kinds[4 + k]) for k in range(4)]
+            more = [pa.array([x[k] for x in lines], t) for k, t in enumerate(own)]
+            none = [pa.nulls(len(kept), t) for t in kinds[counted_at : counted_at + 6]]
+            same = [batch.column(k).take(at) for k in (0, 1, 2, 5)]
+            yield pa.RecordBatch.from_arrays([*same, *columns, *none, *more], schema=schema)
+            if len(records.stats) > records.FULL:
+                yield counted()
+        yield counted()
+
+    slim = rows.select("page_table", "id", "host", "text", "is_message", "page").where("text is not null")
+    parsed = spread(slim).mapInArrow(run, f"{PARSED}, {COUNTED}{', ' * bool(extra)}{extra}")
+    return parsed.withColumn("row", F.monotonically_increasing_id())
+
+
+def _on_leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, first) of records (leaf, part, record, key), sorted by leaf and part and there the most frequent first:
+    each is put on a template, leaf by leaf; ``first`` is the key of the template's first record."""
+    at, tree, keys, firsts = None, PrefixTree(), [], []
+
+    def handed_out() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array([key_of(f[1]) for f in firsts], pa.int64())], names=["key", "first"])
+
+    for batch in batches:
+        for leaf, part, record, key in zip(*(batch.column(k).to_pylist() for k in range(4))):
+            if (leaf, part) != at:
+                at, tree = (leaf, part), PrefixTree()
+                if len(keys) > 10_000:
+                    yield handed_out()
+                    keys, firsts = [], []
+            keys.append(key)
+            firsts.append(tree.add(record))
+    if keys:
+        yield handed_out()
+
+
+def templates(counted: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(key, first) of each record, and (first, whole, record, pages, alone, hosts) of the merged templates.
+
+    ``counted`` has records with their counts, several rows for one record if several tasks saw it. ``first`` is the key of the
+    record that stands for a template of a leaf's part, ``whole`` and ``record`` of the one that stands for the merged template.
+    """
+    sums = [F.sum(c).alias(c) for c in ("n", "pages", "alone")] + [F.bit_or("hosts").alias("hosts")]
+    words = F.split(F.lower("record"), " ")
+    leaf = F.concat_ws(" ", F.size(words), F.slice(words, 1, DEPTH))
+    records = materialize(counted.groupBy("key", "record").agg(*sums).withColumn("leaf", leaf), "records")
+    large = records.groupBy("leaf").count().where(F.col("count") > LEAF_RECORDS).select("leaf", F.ceil(F.col("count") / LEAF_RECORDS).alias("parts"))
+    parted = records.join(large, "leaf", "left").withColumn("part", F.pmod("key", F.coalesce("parts", F.lit(1))))
+
+    def grown(df: DataFrame) -> DataFrame:
+        placed = df.select("leaf", "part", "record", "key", "n").repartition("leaf", "part").sortWithinPartitions("leaf", "part", F.desc("n"), "record")
+        return placed.select("leaf", "part", "record", "key").mapInArrow(_on_leaves, "key bigint, first bigint")
+
+    members = materialize(grown(parted), "part-templates")
+    # a part's template is represented by its most frequent record; the templates of a leaf's parts are merged by them
+    parts = members.join(records.drop("record", "leaf"), "key").groupBy("first").agg(*sums)
+    parts = materialize(parts.join(records.select(F.col("key").alias("first"), "record", "leaf"), "first"), "templates")
+    merged = grown(parts.withColumn("part", F.lit(0)).withColumnRenamed("first", "key"))
+    merged = merged.select(F.col("key").alias("first"), F.col("first").alias("whole")).join(parts, "first").drop("record", "leaf", "n")
+    return members, merged.join(parts.select(F.col("first").alias("whole"), "record"), "whole")
+
+
+def verdicts(counted: DataFrame) -> DataFrame:
+    """(key, verdict) of the records whose template is not ordinary; each merged template is classified once."""
+    members, merged = templates(counted)
+    total = merged.groupBy("whole", "record").agg(F.sum("pages").alias("pages"), F.sum("alone").alias("alone"), F.bit_or("hosts").alias("hosts"))
+    spread_out = (F.bit_count("hosts") >= SPREAD_HOSTS) & (F.col("alone") >= ALONE_SHARE * F.col("pages"))
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            said = []
+            for record, alone in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                verdict = classify(record)
+                said.append(ERROR if verdict == ORDINARY and alone and not is_name(record) else verdict)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(said, pa.string())], names=["whole", "verdict"])
+
+    judged = total.select("whole", "record", spread_out.alias("spread")).mapInArrow(judge, "whole bigint, verdict string").where(F.col("verdict") != ORDINARY)
+    return members.join(merged.select("first", "whole").join(judged, "whole"), "first").select("key", "verdict")
+
+
+def cases(parsed: DataFrame) -> DataFrame:
+    """(page_table, id, row) of the rows of parse() that are cases."""
+    rows = parsed.where("record is null")
+    flagged = verdicts(parsed.where("record is not null").select("record", "key", "n", "pages", "alone", "hosts"))
+    said = rows.where("not slot").select("page_table", "id", "row", "visitors", "real", F.explode("sayings").alias("saying"))
+    said = said.withColumn("counts", F.pmod("saying", F.lit(2))).withColumn("key", F.col("saying") - F.col("counts"))
+    found = said.join(flagged, "key").groupBy("page_table", "id", "row", "visitors", "real").agg(
+        F.count_if(F.col("verdict") == FILLER).alias("filler"),
+        F.count_if(F.col("verdict").isin(ERROR, NOTICE)).alias("residue"),
+        F.sum("counts").alias("unreal"),
+    )
+    is_page = F.col("page_table") != MESSAGES
+    whole = (F.col("residue") > 0) & F.col("visitors") & (~is_page | (F.col("real") <= F.col("unreal")))
+    return rows.where("slot").select("page_table", "id", "row").unionByName(found.where((F.col("filler") > 0) | whole).select("page_table", "id", "row"))
+
+
+#: ``page_table`` of error messages.
+MESSAGES = "messages"
+
+
+def find_residue(df: DataFrame, id_col: str = "id", page_col: str = "homepage_markdown", message_col: str = "error_message", url_col: str = "url") -> DataFrame:
+    """(id, field) of the cases. Without a ``url_col`` all pages count as of one host."""
+    i = F.col(f"`{id_col}`").cast("bigint").alias("id")
+    host = host_of(F.col(f"`{url_col}`").cast("string")) if url_col in df.columns else F.lit("")
+    rows = df.select(i, host.alias("host"), F.lit(0).cast("bigint").alias("page"), F.explode(F.array(
+        F.struct(F.lit("pages").alias("page_table"), F.col(f"`{page_col}`").cast("string").alias("text"), F.lit(False).alias("is_message")),
+        F.struct(F.lit(MESSAGES).alias("page_table"), F.col(f"`{message_col}`").cast("string").alias("text"), F.lit(True).alias("is_message")),
+    )).alias("said")).select("said.page_table", "id", "host", "said.text", "said.is_message", "page")
+    found = cases(materialize(parse(rows), "residue-records"))
+    return found.select("id", F.when(F.col("page_table") == MESSAGES, message_col).otherwise(page_col).alias("field"))
+
+
+def host_of(url: Column) -> Column:
+    """The host of a URL in lower case, without www."""
+    return F.regexp_extract(F.lower(url), r"^\s*(?:[a-z][a-z0-9+.\-]*:)?/*(?:www\.)?([^/?#\s:]*)", 1)

@@ -70,9 +70,8 @@ def test_message_no_case(text):
 
 
 @pytest.mark.parametrize("text", ["max. 30 words", "max. 30 Zeichen", "máx. o max. 30 caracteres", "max. 30 caractères", "Add a subheading", "To do", "x x x x x", "aa aa aa aa", "Insérez ici", "Faux texte", "testtest"])
-def test_prefilter_rejects_no_filler(text):
+def test_filler_is_told_without_a_prefilter(text):
     assert residue._FILLER.search(text)
-    assert residue.may_be_filler(text)
     assert residue.classify(text) == residue.FILLER
     assert page_text_is_case(CHROME + BODY + "\n\n" + text)
 
@@ -92,3 +91,49 @@ def test_table(spark):
     want = [(1, "error_message"), (1, "homepage_markdown"), (1, "homepage_markdown"), (4, "homepage_markdown"), (None, "homepage_markdown")]
     assert got == sorted(want, key=str)
     assert residue.find_residue(df.limit(0)).count() == 0
+
+
+PAGES = "id bigint, url string, homepage_markdown string, error_message string"
+#: Wordings that no list here knows.
+UNLISTED = ["Sorry, we couldn't locate this one on our machines.", "La dirección pedida no existe ya.", "Dieser Inhalt wurde entfernt oder verschoben."]
+
+
+def corpus(spark, hosts=20):
+    honest = [(f"# Baker {k}\n\nWe bake bread number {k} for the whole street.\n\nVisitors are welcome.\n\nRolls number {k} are rye.\n\nOrder by noon.\n\nParking {k} is free.") for k in range(40)]
+    rows = [(k, f"https://h{k}.example/", t, None) for k, t in enumerate(honest)]
+    for n, text in enumerate(UNLISTED):
+        rows += [(1000 * (n + 1) + k, f"https://e{n}-{k}.example/", f"# e{n}-{k}.example\n\n{text}\n\nRef {k}{k}a7", None) for k in range(hosts)]
+    return spark.createDataFrame(rows, PAGES)
+
+
+def test_wordings_no_list_knows_are_found_by_their_template(spark):
+    assert not any(residue.page_text_is_case(t) for t in UNLISTED)
+    got = {r.id for r in residue.find_residue(corpus(spark)).collect()}
+    assert got == {1000 * (n + 1) + k for n in range(len(UNLISTED)) for k in range(20)}
+    # on few hosts a template is no evidence
+    assert {r.id for r in residue.find_residue(corpus(spark, 3)).collect()} == set()
+
+
+def test_wildcards_come_from_what_varies():
+    tree = residue.PrefixTree()
+    for name in ("anna", "bert", "cleo"):
+        found = tree.add(f"the page of our dear {name} is not here any more")
+    assert found[0] == "the page of our dear <*> is not here any more".split()
+    assert found[1] == "the page of our dear anna is not here any more"
+    assert tree.add("the page of our old boat was sold long before")[1] != found[1]
+
+
+def test_large_leaves_are_cut_and_merged(spark, monkeypatch):
+    rows = [(k, f"https://h{k}.example/", f"the requested page {'abcdefghij'[k % 10] * 3}{'klmnopqrst'[k // 10] * 3} was not found by us", None) for k in range(100)]
+    df = spark.createDataFrame(rows, PAGES)
+    whole = sorted(map(tuple, residue.find_residue(df).collect()))
+    monkeypatch.setattr(residue, "LEAF_RECORDS", 7)
+    cut = sorted(map(tuple, residue.find_residue(df.repartition(5)).collect()))
+    assert whole == cut
+
+
+@pytest.mark.parametrize("words", [2, 80])
+def test_an_error_page_is_a_case_at_any_length(spark, words):
+    text = "The page you requested could not be found" + " here, there, or in any of our rooms" * words + "."
+    df = spark.createDataFrame([(1, "https://a.example", text, None)], PAGES)
+    assert [r.id for r in residue.find_residue(df).collect()] == [1]
