@@ -19,8 +19,8 @@
 Pages whose body is template residue (see ``residue``) give no rows.
 
 Scale: one parse in Arrow batches, two tables of arrays in the shared folder, shuffles of
-pre-aggregated token counts and of the lines of hosts with a template. Nothing is broadcast or collected: pools and templates
-meet pages and lines by shuffled joins whose keys are salted.
+pre-aggregated token counts and of the lines of hosts with a template. Nothing is collected: pools and templates
+meet pages and lines by broadcast behind a check of their size, else by shuffled joins whose keys are salted.
 
 Defined results
 ---------------
@@ -37,6 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from leadmill.llm.joins import meet
 from leadmill.llm.page_lines import template
 from leadmill.llm.residue import cases, parse
 from leadmill.session import materialize
@@ -44,8 +45,6 @@ from leadmill.session import materialize
 #: Pages of a host for a pool of its own, and occurrences of a token for a verdict.
 HOST_PAGES = 5
 MIN_SUPPORT = 5
-#: Parts of each join key, so that a host or line found on a large part of all pages is no hot spot.
-SALTS = 16
 #: Share of a host's pages on which a line is fixed.
 RECURS = 0.5
 #: Share of a class's pages on which its lines keep one order and their slots.
@@ -102,17 +101,11 @@ def read_pages(pages: DataFrame) -> DataFrame:
     return parsed.withColumn("section", F.col("host")).withColumn("host", F.split_part(F.coalesce("host", F.lit("")), F.lit(" "), F.lit(1)))
 
 
-def salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str) -> DataFrame:
-    """left (with ``row``) joined to the smaller side right, each key cut into SALTS parts."""
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    salted = left.withColumn("salt", F.pmod(F.hash("row"), F.lit(SALTS)))
-    return salted.join(right.withColumn("salt", salts), [*on, "salt"], how).drop("salt")
-
-
 def pooled(parsed: DataFrame) -> DataFrame:
     """The parsed pages with ``pool``: the host if it has enough pages, else one pool for the rest."""
     large = parsed.where("host <> ''").groupBy("host").count().where(F.col("count") >= HOST_PAGES)
-    return salted_join(parsed, large.select("host", F.col("host").alias("pool")), ["host"], "left").withColumn("pool", F.coalesce("pool", F.lit("")))
+    large = large.select("host", F.col("host").alias("pool"))
+    return meet(parsed, large, ["host"], "left", "large-hosts").withColumn("pool", F.coalesce("pool", F.lit("")))
 
 
 def token_counts(pages: DataFrame) -> DataFrame:
@@ -175,7 +168,7 @@ def templates(pages: DataFrame) -> DataFrame:
 def page_templates(pages: DataFrame) -> DataFrame:
     """templates() of pages that are no residue."""
     parsed = materialize(read_pages(pages), "parsed-pages")
-    kept = parsed.where("record is null").join(cases(parsed).select("row"), "row", "left_anti")
+    kept = meet(parsed.where("record is null"), cases(parsed).select("row"), ["row"], "left_anti", "residue-pages", 1)
     return templates(pooled(kept))
 
 
@@ -198,7 +191,7 @@ def deduced(pages: DataFrame) -> DataFrame:
     sizes = fixed.groupBy("group", "class").agg(F.max("n").alias("n"), F.count("*").alias("size"))
     root = sizes.groupBy("group").agg(F.max_by("class", F.struct("n", "size", "class")).alias("root_class"))
     fixed = materialize(fixed.join(root, "group").withColumn("root", F.col("class") == F.col("root_class")).drop("root_class"), "fixed-lines")
-    met = salted_join(lines.select("row", "group", "line", "at"), fixed.select("group", "line", "class", "root"), ["group", "line"], "inner")
+    met = meet(lines.select("row", "group", "line", "at"), fixed.select("group", "line", "class", "root"), ["group", "line"], "inner", "fixed-keys")
     # the fixed lines of one page, in order; each with the number of root lines before it
     page = met.groupBy("row", "group").agg(F.array_sort(F.collect_list(F.struct("at", "line", "class", "root"))).alias("found"))
     slots = F.transform("found", lambda x: F.struct(x["line"].alias("line"), x["class"].alias("class"), F.size(F.filter("found", lambda y: y["root"] & (y["at"] < x["at"]))).alias("slot")))
@@ -221,7 +214,7 @@ def _group_lines(pages: DataFrame) -> DataFrame:
     groups = F.filter(F.array_distinct(F.array("host", "section")), lambda g: g.isNotNull() & (F.trim(g) != ""))
     own = pages.select("row", "page", F.explode(groups).alias("group"), "lines", "blocks")
     sizes = own.groupBy("group", "page").agg(F.lit(1).alias("one")).groupBy("group").agg(F.count("*").alias("pages")).where(F.col("pages") >= HOST_PAGES)
-    own = salted_join(own, sizes, ["group"], "inner")
+    own = meet(own, sizes, ["group"], "inner", "group-sizes")
     lines = own.select("row", "page", "group", "pages", F.size("lines").alias("length"), F.posexplode(F.arrays_zip("lines", "blocks")).alias("at", "x"))
     return lines.where("x.lines is not null").select("row", "page", "group", "pages", "at", (F.col("at") / F.col("length")).alias("place"), F.col("x.blocks").alias("block"), F.col("x.lines").alias("line"))
 
@@ -230,23 +223,24 @@ def fixed_blocks(pages: DataFrame) -> DataFrame:
     """(row, block): blocks that the deduced templates hold as fixed, with more fixed lines than slots."""
     valid = deduced(pages).where("valid").select("group", "line", F.lit(1).alias("fixed"))
     lines = _group_lines(pages).select("row", "group", "line", "block")
-    votes = salted_join(lines, valid, ["group", "line"], "left").groupBy("row", "group", "block").agg(F.count("fixed").alias("fixed"), F.count("*").alias("n"))
+    votes = meet(lines, valid, ["group", "line"], "left", "valid-lines").groupBy("row", "group", "block").agg(F.count("fixed").alias("fixed"), F.count("*").alias("n"))
     return votes.where(F.col("fixed") * 2 > F.col("n")).select("row", "block").distinct()
 
 
 def body_lines(pages: DataFrame) -> DataFrame:
     """(page_table, id, line_no) of the main body's lines, from pages (page_table, id, host, text and, if known, page and section)."""
     parsed = materialize(read_pages(pages), "parsed-pages")
-    residue = cases(parsed).select("row")
-    kept = parsed.where("record is null").select("page_table", "id", "host", "section", "page", "row", *LINE_NAMES).join(residue, "row", "left_anti")
+    kept = parsed.where("record is null").select("page_table", "id", "host", "section", "page", "row", *LINE_NAMES)
+    kept = meet(kept, cases(parsed).select("row"), ["row"], "left_anti", "residue-pages", 1)
     own = materialize(pooled(kept.where("exists(chrome, x -> not x)")), "pooled-pages")
     needed = (F.col("n") >= MIN_SUPPORT) | ((F.col("pool") != "") & (F.col("chrome_n") < F.col("n")))
     counts = materialize(token_counts(own).where(needed), "token-counts")
     lines = own.select("row", "pool", F.explode(F.arrays_zip("tokens", "blocks", "chrome")).alias("line")).where("not line.chrome")
     lines = lines.select("row", "pool", F.col("line.tokens").alias("token"), F.col("line.blocks").alias("block"))
     # a block with any template line is template as a whole
-    classed = salted_join(lines, sought_tokens(counts), ["pool", "token"], "left_semi").select("row", "block")
-    hits = classed.unionByName(fixed_blocks(own)).groupBy("row").agg(F.collect_set("block").alias("hits"))
-    open_lines = own.select("page_table", "id", "row", F.arrays_zip("numbers", "blocks", "chrome").alias("lines")).join(hits, "row", "left")
+    classed = meet(lines, sought_tokens(counts), ["pool", "token"], "left_semi", "chrome-tokens").select("row", "block")
+    hits = classed.unionByName(fixed_blocks(own.where("pool <> ''"))).groupBy("row").agg(F.collect_set("block").alias("hits"))
+    open_lines = own.select("page_table", "id", "row", F.arrays_zip("numbers", "blocks", "chrome").alias("lines"))
+    open_lines = meet(open_lines, hits, ["row"], "left", "template-blocks", 1)
     rest = F.filter("lines", lambda x: ~x["chrome"] & ~F.coalesce(F.array_contains("hits", x["blocks"]), F.lit(False)))
     return open_lines.select("page_table", "id", F.explode(rest).alias("line")).select("page_table", "id", F.col("line.numbers").cast("bigint").alias("line_no"))

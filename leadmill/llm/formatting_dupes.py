@@ -4,15 +4,15 @@ A record is reduced to a canonical key by built-in expressions (letter case, whi
 invisible characters, punctuation, a leading scheme or www., the order of several numbers
 and the order of the two fields do not count). Then
 
-1. every task builds two Bloom filters of its key hashes, of keys seen and of keys seen
-   again; filters are cut into blocks and merged block by block (a bit of "seen" set in
-   both halves is a bit of "seen again" in the merged filter);
-2. the merged "seen again" filter, of bounded size, is sent to all tasks, and only rows it
-   says may repeat are shuffled and grouped by their whole key;
+1. every task sends the distinct key hashes of its batches, 9 bytes each, to the range of the key space they belong to; there
+   they are merged into the range's two Bloom filters, of keys seen and of keys seen again. A range has about RANGE_ROWS
+   rows, so its filters never saturate, however many keys there are, and no task sends whole filters;
+2. each range owns its part of one "seen again" filter of bounded size, in which only keys that repeat set bits. It is
+   sent to all tasks, and only rows it says may repeat are shuffled and grouped by their whole key;
 3. all other rows are singletons.
 
-The filter has no false negatives, so the result is exact at every size: a filter that is
-too small for the data only lets more rows into the exact grouping.
+The filter has no false negatives, so the result is exact at every size: more repeated keys than it is made for
+only let more rows into the exact grouping.
 
 Skew: groups are pre-aggregated before the shuffle. Groups that hold 1/256 of all rows or
 more, of which there are at most 256, meet their rows by a broadcast join; no task gets a
@@ -23,7 +23,7 @@ Defined results
 * a record takes part only if both fields are given (not null, blank or ``Not available``
   in any case); all others are singletons of their own;
 * a field of punctuation only is given, and its canonical form is empty;
-* of tied rows the smallest id is first; a repeated row under one id counts as one record;
+* of tied rows the smallest id is first; a repeated row under one id counts as one more copy, and is no copy of itself in copies();
 * texts of any length are read whole; an empty table gives an empty result;
 * only the named columns are read; other columns and their names do not matter.
 """
@@ -42,7 +42,8 @@ from pyspark.sql import functions as F
 from leadmill.session import materialize
 
 PROBES = 4
-BLOCK_BITS = 1 << 16
+#: Rows of one range of the key space, and the smallest part of the filter that a range owns.
+RANGE_ROWS, BLOCK_BITS = 1 << 22, 1 << 16
 #: Bits of filter for each row, and the bounds of its size: 8 KB to 32 MB.
 BITS_PER_ROW, MIN_BITS, MAX_BITS = 12, 1 << 16, 1 << 28
 HOT_PART = 256
@@ -105,55 +106,63 @@ def set_bits(bitmap: np.ndarray, places: list[np.ndarray]) -> None:
         np.bitwise_or.at(bitmap, p >> 3, np.left_shift(np.uint8(1), (p & 7).astype(np.uint8)))
 
 
-def build_partial(hash_arrays: Iterator[np.ndarray], bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """The filters (seen, seen again) of one partition."""
-    seen, again = np.zeros(bits // 8, np.uint8), np.zeros(bits // 8, np.uint8)
-    for hashes in hash_arrays:
-        unique, counts = np.unique(hashes, return_counts=True)
-        places = probes(unique, bits)
-        repeated = (counts > 1) | has_bits(seen, places)
-        set_bits(again, [p[repeated] for p in places])
-        set_bits(seen, places)
-    return seen, again
+def ranges_of(rows: int, bits: int) -> int:
+    """A power of two: ranges of RANGE_ROWS rows at most, with a part of the filter each."""
+    return min(1 << max(0, (max(rows, 1) - 1) // RANGE_ROWS).bit_length(), max(1, bits // BLOCK_BITS))
 
 
-def merge_into(seen: np.ndarray, again: np.ndarray, other_seen: np.ndarray, other_again: np.ndarray) -> None:
-    """Merge one pair of filters (or blocks of them) into another."""
-    again |= other_again | (seen & other_seen)
-    seen |= other_seen
+def range_of(hashes: np.ndarray, ranges: int) -> np.ndarray:
+    """The range of each hash, by other bits than the probes use."""
+    mixed = hashes.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return ((mixed >> np.uint64(40)) & np.uint64(ranges - 1)).astype(np.int32)
 
 
-def repeat_filter(hashes: DataFrame, bits: int) -> np.ndarray:
-    """The merged filter of keys that may repeat, over a DataFrame of one hash column."""
-    size = BLOCK_BITS // 8
+def filter_places(hashes: np.ndarray, bits: int, ranges: int) -> list[np.ndarray]:
+    """The places of each hash in the filter: within the part of its range."""
+    own = bits // ranges
+    first = range_of(hashes, ranges).astype(np.int64) * own
+    return [first + p for p in probes(hashes, own)]
 
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, again = build_partial((b.column(0).to_numpy(zero_copy_only=False) for b in batches), bits)
-        for k in range(bits // BLOCK_BITS):
-            part = slice(k * size, (k + 1) * size)
-            if seen[part].any():
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([k], pa.int32()), pa.array([seen[part].tobytes()], pa.binary()), pa.array([again[part].tobytes()], pa.binary())],
-                    names=["block", "seen", "again"],
-                )
+
+def repeat_filter(hashes: DataFrame, bits: int, rows: int | None = None) -> np.ndarray:
+    """The filter of keys that may repeat, over a DataFrame of one hash column of about so many rows."""
+    ranges = ranges_of(rows if rows is not None else bits // BITS_PER_ROW, bits)
+    own = bits // ranges
+    local = max(own, filter_bits((rows if rows is not None else bits // BITS_PER_ROW) // ranges + 1))
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            unique, counts = np.unique(batch.column(0).to_numpy(zero_copy_only=False), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(range_of(unique, ranges)), pa.array(unique), pa.array(counts > 1)], names=["range", "hash", "again"])
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blocks: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        at, seen, again = None, None, None
+
+        def handed_out() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([again.tobytes()], pa.binary())], names=["range", "again"])
+
         for batch in batches:
-            for k, s, a in zip(*(c.to_pylist() for c in batch.columns)):
-                s, a = np.frombuffer(s, np.uint8), np.frombuffer(a, np.uint8)
-                if k in blocks:
-                    merge_into(*blocks[k], s, a)
-                else:
-                    blocks[k] = s.copy(), a.copy()
-        for k, (_, again) in blocks.items():
-            if again.any():
-                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([again.tobytes()], pa.binary())], names=["block", "again"])
-
-    merged = hashes.mapInArrow(build, "block int, seen binary, again binary").repartition("block").mapInArrow(merge, "block int, again binary")
+            ranges_here, hashes_here, repeated_here = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            for r in np.unique(ranges_here):
+                if r != at:
+                    if at is not None and again.any():
+                        yield handed_out()
+                    at, seen, again = int(r), np.zeros(local // 8, np.uint8), np.zeros(own // 8, np.uint8)
+                mine = ranges_here == r
+                unique, where = np.unique(hashes_here[mine], return_inverse=True)
+                repeated = np.bincount(where, minlength=len(unique)) > 1
+                np.logical_or.at(repeated, where, repeated_here[mine])
+                places = probes(unique, local)
+                repeated |= has_bits(seen, places)
+                set_bits(seen, places)
+                set_bits(again, probes(unique[repeated], own))
+        if at is not None and again.any():
+            yield handed_out()
+
+    sent = hashes.mapInArrow(send, "range int, hash bigint, again boolean").repartition("range").sortWithinPartitions("range")
     bitmap = np.zeros(bits // 8, np.uint8)
-    for row in merged.toLocalIterator():
-        bitmap[row.block * size : (row.block + 1) * size] = np.frombuffer(row.again, np.uint8)
+    for row in sent.mapInArrow(merge, "range int, again binary").toLocalIterator():
+        bitmap[row.range * own // 8 : (row.range + 1) * own // 8] = np.frombuffer(row.again, np.uint8)
     return bitmap
 
 
@@ -170,12 +179,14 @@ def keyed(df: DataFrame, id_col: str, field_a: str, field_b: str) -> DataFrame:
 def split_by_filter(df: DataFrame, id_col: str, field_a: str, field_b: str, rows: int | None = None) -> DataFrame:
     """keyed() with ``may_repeat``: false is certain, true is to be checked exactly."""
     records = keyed(df, id_col, field_a, field_b)
-    bits = filter_bits(df.count() if rows is None else rows)
-    sent = df.sparkSession.sparkContext.broadcast(repeat_filter(records.select("hash"), bits))
+    total = df.count() if rows is None else rows
+    bits = filter_bits(total)
+    ranges = ranges_of(total, bits)
+    sent = df.sparkSession.sparkContext.broadcast(repeat_filter(records.select("hash"), bits, total))
 
     @F.pandas_udf("boolean")
     def may_repeat(h: pd.Series) -> pd.Series:
-        return pd.Series(has_bits(sent.value, probes(h.to_numpy(), bits)))
+        return pd.Series(has_bits(sent.value, filter_places(h.to_numpy(), bits, ranges)))
 
     return records.withColumn("may_repeat", may_repeat("hash"))
 

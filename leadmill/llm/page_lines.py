@@ -8,6 +8,8 @@ from __future__ import annotations
 import re
 from functools import lru_cache
 
+from leadmill.llm.gates import Gate
+
 #: Names of menu entries, sections and buttons of page chrome in en, de, es, fr (fixed values).
 MENU = frozenset(
     """home|about|about us|our team|team|services|gallery|contact|contact us|faq|blog|news|shop|book online|careers|jobs|
@@ -79,8 +81,6 @@ _SIGN_UP = re.compile(r"(?:sign up for|subscribe to|receive|get|join)\b[^.!?]*\b
 _UNSUBSCRIBE = re.compile(r"\bno spam\b|\bunsubscribe\b", re.IGNORECASE)
 _CHOOSE_COOKIES = re.compile(r"\bchoose which cookies\b", re.IGNORECASE)
 _MORE_TEXT = re.compile(r"[.!?]\s+\S")
-#: One of these literals is in every text that _COPY finds.
-_COPY_SIGNS = ("©", "(c)", "copyright", "&copy;", "all rights reserved", "vorbehalten", "reservados", "réservés")
 _HOURS = re.compile(r"^(?:mon|tue|wed|thu|fri|sat|sun|mo|di|mi|do|fr|sa|so|lun|mar|mié|mie|jue|vie|sáb|sab|dom|mer|jeu|ven|sam|dim)[a-zäöüéá]*\.?(?:\s*(?:-|–|to|bis|a|au|and|und|y|et|,)\s*[a-zäöüéá]+\.?)*\s*:?\s*(?:\d{1,2}[:.h]\d{2}|\d{1,2}\s*(?:am|pm|uhr)|closed|geschlossen|cerrado|fermé)", re.IGNORECASE)
 _PHONE_LINE = re.compile(r"^(?:phone|tel|telephone|t|fax|f|mobile|m|call|ph|telefon|teléfono|téléphone)\b\.?\s*:?\s*[+(\d][\d ().\-/+]{6,}$", re.IGNORECASE)
 _ONLY_COUNT = re.compile(r"^\W*\d+\W*$")
@@ -140,10 +140,14 @@ def kind_of(line: str) -> str:
     return _kind(s, plain(s))
 
 
+_GATE = Gate(copy=_COPY, made=_MADE_WITH, owned=_OWNED, cookies=_COOKIES, choose=_CHOOSE_COOKIES, script=_SOFT_SCRIPT, share=_SHARE, more=_MORE, sign=_SIGN_UP, leave=_UNSUBSCRIBE)
+_BIT = _GATE.bit
+
+
 def _kind(s: str, text: str) -> str:
     """The kind of a stripped line; conditions in front of patterns hold wherever the pattern can match."""
     low = text.lower().rstrip(" :")
-    whole = s.lower()
+    may = _GATE.may_match(s)
     if low in SECTIONS:
         return "section"
     if s[0] in "![<" and _IMAGE.match(s):
@@ -158,22 +162,22 @@ def _kind(s: str, text: str) -> str:
         return "strip"
     if _CRUMBS.match(text):
         return "crumbs"
-    if any(sign in whole for sign in _COPY_SIGNS) and _COPY.search(s):
+    if may & _BIT["copy"] and _COPY.search(s):
         return "copyright"
-    if not s.startswith(("#", ">", "*", "-", "+")) and _NAME_AND_YEAR.match(text):
+    if text[-1:] in "0123456789." and not s.startswith(("#", ">", "*", "-", "+")) and _NAME_AND_YEAR.match(text):
         return "copyright"
-    if _MADE_WITH.match(text) and not _MORE_TEXT.search(text) or _OWNED.match(text):
+    if may & _BIT["made"] and _MADE_WITH.match(text) and not _MORE_TEXT.search(text) or may & _BIT["owned"] and _OWNED.match(text):
         return "copyright"
-    if _COOKIES.match(text) or "cookies" in low and _CHOOSE_COOKIES.search(text):
+    if may & _BIT["cookies"] and _COOKIES.match(text) or may & _BIT["choose"] and _CHOOSE_COOKIES.search(text):
         return "cookies"
-    if _SOFT_SCRIPT.match(text):
+    if may & _BIT["script"] and _SOFT_SCRIPT.match(text):
         return "script"
-    if ":" in text and _SHARE.match(text):
+    if may & _BIT["share"] and _SHARE.match(text):
         return "share"
     linked = "](" in s
-    if linked and _MORE.search(s):
+    if linked and may & _BIT["more"] and _MORE.search(s):
         return "teaser"
-    if _SIGN_UP.match(text) or ("no spam" in low or "unsubscribe" in low) and _UNSUBSCRIBE.search(text):
+    if may & _BIT["sign"] and _SIGN_UP.match(text) or may & _BIT["leave"] and _UNSUBSCRIBE.search(text):
         return "newsletter"
     if linked and _LINK.search(s):
         rest = _LINK.sub("", _MARK.sub("", s)).strip(" |·•/-–—>»›#*")

@@ -126,6 +126,6 @@ QUERIES: dict[str, Query] = {
 }
 SQL: dict[str, str] = {
     "p5_found": _P5 + "SELECT first_id, lead_id AS copy_id FROM firsts WHERE lead_id <> first_id",
-    "p5_collapsed": _P5 + "SELECT lead_id, n AS n_copies FROM firsts WHERE lead_id = first_id",
+    "p5_collapsed": _P5 + "SELECT lead_id, n AS n_copies FROM firsts WHERE lead_id = first_id UNION ALL SELECT lead_id, 1 FROM squeezed WHERE NOT coalesce(sa NOT IN ('', 'notavailable') AND sb NOT IN ('', 'notavailable'), false)",
     "p6_decoded": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
 }

@@ -11,7 +11,7 @@ a prefix tree of fixed depth over the whole corpus:
    of the record, and the parts' templates are merged in the leaf;
 3. each merged template is classified once: by what its most frequent record says, or by where it stands: a template
    found on SPREAD_HOSTS hosts or more, hardly ever beside other content, stands in place of pages;
-4. the verdicts that are not ordinary go back to the records, and from these to their pages, by shuffled joins.
+4. the verdicts that are not ordinary go back to the records, and from these to their pages, by joins on the records' hashes.
 
 Slots left unresolved inside ordinary records are found separately, in the record itself.
 
@@ -41,6 +41,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import _parse_datatype_string
 
+from leadmill.llm.gates import Gate
+from leadmill.llm.joins import meet
 from leadmill.llm.page_lines import CHROME, kind_of, plain
 from leadmill.session import materialize, spread
 
@@ -114,9 +116,9 @@ _LATIN = frozenset(
     risus justo libero pellentesque morbi tristique senectus netus fames egestas proin suspendisse phasellus curabitur praesent aliquam
     vivamus faucibus volutpat ligula leo diam urna enim neque odio sapien sem tortor ultrices ultricies""".split()
 )
-_FILLER = re.compile(
+_FILLER_WORDS = re.compile(
     r"\bdummy (?:text|copy|content)\b|\bplaceholder (?:text|copy|content|image)\b|\b(?:sample|example|demo) (?:paragraph|text|content|testimonial|heading|page|post)\b"
-    r"|\b(?:text ){2,}text\b|\b(?:bla[ ,.]+){2,}|\b(?:blah[ ,.]+){2,}|\bfoo bar\b|\basdf\b|\bqwerty\b|^([a-z])\1*(?:[ ,.;:]+\1+){3,}\W*$|^x{3,}\b.*\bx{3,}\b|\b(?:test[ ,.]+){2,}(?:\S+ )?test\b|^(?:test ?){2,}$"
+    r"|\b(?:text ){2,}text\b|\b(?:bla[ ,.]+){2,}|\b(?:blah[ ,.]+){2,}|\bfoo bar\b|\basdf\b|\bqwerty\b|\b(?:test[ ,.]+){2,}(?:\S+ )?test\b|^(?:test ?){2,}$"
     r"|\b(?:sub)?title goes here\b|\bgoes here\b|\b(?:feature|service|product|section|slide|card) (?:title|heading|name) (?:one|two|three|\d|<\*>)|\bshort text that\b"
     r"|\bwaiting for (?:content|text)\b|\bdouble-?click to\b|\bclick (?:here )?to edit\b|\bedit this (?:block|text|area|section|column|paragraph|page|post)\b"
     r"|\bthis (?:block|area|section|column|paragraph|text) (?:is (?:a|for|reserved|empty|waiting)|to )|\buse this (?:block|area|section|column|space|paragraph)\b"
@@ -131,6 +133,9 @@ _FILLER = re.compile(
     r"|^\W*(?:tbd|tba|todo|to do|n\.n\.)\W*$|\bcoming soon\b.*\btext\b|\bcontent (?:will go|goes) here\b",
     re.IGNORECASE,
 )
+#: One letter or word of one letter over and over.
+_FILLER_LETTERS = re.compile(r"^([a-z])\1*(?:[ ,.;:]+\1+){3,}\W*$|^x{3,}\b.*\bx{3,}\b", re.IGNORECASE)
+_FILLER = re.compile(f"{_FILLER_WORDS.pattern}|{_FILLER_LETTERS.pattern}", re.IGNORECASE)
 #: What a page says to visitors whose browser runs no scripts or is being checked.
 _SCRIPTS = r"(?:java ?scripts?|scripts?|scripting|cookies)"
 _NOTICE = re.compile(
@@ -142,19 +147,22 @@ _NOTICE = re.compile(
     re.IGNORECASE,
 )
 #: What an error page says to visitors.
-_ERROR = re.compile(
+_ERROR_WORDS = re.compile(
     r"\bpage (?:was |is |could |can )?(?:not |cannot be )?(?:not found|missing|be found|no longer exists)\b|\bpage you (?:requested|are looking for|were looking for)\b|\b(?:file or directory|page) missing\b"
     r"|\bsomething went wrong\b|\baccess denied\b|\bapplication error\b|\bbandwidth limit exceeded\b|\bcould not connect to the database\b|\binvalid hostname\b|\btoo many requests\b|\bsite (?:is )?temporarily (?:offline|unavailable)\b"
     r"|\bwe can['’]t find what you\b|\bnothing lives at this address\b|\baccount has been suspended\b|\bgateway time-?out\b|\bbad gateway\b|\bservice (?:temporarily )?unavailable\b|\binternal server error\b|\bserver error\b"
-    r"|^\W*(?:<\*>|\d{3})?\W*(?:not found|forbidden|unauthorized|gone)\W*(?:<\*>)?$|\bhttp error\b|^(?:error|status|fehler) (?:<\*>|\d{3})\b|^\W*(?:error )?\d{3}\W*$"
+    r"|^\W*(?:<\*>|\d{3})?\W*(?:not found|forbidden|unauthorized|gone)\W*(?:<\*>)?$|\bhttp error\b|^(?:error|status|fehler) (?:<\*>|\d{3})\b"
     r"|\bnothing to show\b|\bresource limit reached\b|\bthe service is busy\b|\bthe address is gone\b|\bcertificate mismatch at the origin\b|\bunexpected failure\b|\brequest refused\b|\bcould not reach the host\b|\bthe origin did not answer\b"
     r"|\byou do not have permission to\b|\bupstream server returned\b|\btry the search box\b|\bgo (?:back )?to the home page\b|\breturn to the home ?page\b|\bif you are the owner of this site\b|\bcontact (?:your hosting provider|the owner of the site)\b"
     r"|\bthe page may have moved\b|\baddress was typed wrongly\b|\bserver was unable to\b|\btry again in a few minutes\b|\bno site is configured at\b|\bunexpected condition was met\b|\brequested url was not\b|\bweb server is down\b|\bis being restarted\b"
     r"|\bseite nicht gefunden\b|\binterner serverfehler\b|\bangeforderte adresse existiert nicht\b|\bzugriff verweigert\b|\bpágina no encontrada\b|\berror interno del servidor\b|\bno se pudo completar la solicitud\b|\bacceso denegado\b"
     r"|\bpage introuvable\b|\berreur interne\b|\bserveur n['’]a pas pu traiter\b|\baccès refusé\b"
-    r"|^fatal error\b|^stack trace\b|^#\S+ /|\{main\} thrown|^uncaught \w+\b|\bin /srv/|\bon line (?:<\*>|\d+)\b",
+    r"|^fatal error\b|^stack trace\b|\{main\} thrown|^uncaught \w+\b|\bin /srv/|\bon line (?:<\*>|\d+)\b",
     re.IGNORECASE,
 )
+#: A status code alone, or a line of a stack trace.
+_ERROR_CODES = re.compile(r"^\W*(?:error )?\d{3}\W*$|^#\S+ /", re.IGNORECASE)
+_ERROR = re.compile(f"{_ERROR_WORDS.pattern}|{_ERROR_CODES.pattern}", re.IGNORECASE)
 #: Lines that go with an error page: references, server names, rules, buttons.
 _BESIDE = re.compile(r"^\W*$|^(?:error reference|request id|ref|ray(?: id)?|reference|incident|nginx|apache|openresty|lighttpd|iis)\b.{0,60}$|^server at \S+(?: port \S+)?$|^<\*>$|^(?:home|go back|back|retry|reload|try again|return|contact)\W*$", re.IGNORECASE)
 #: A crawler speaks of hosts, attempts, exceptions and times.
@@ -169,16 +177,20 @@ _ONLY_NAMES = re.compile(r"^(?:<N>|<\*>|[^\w<>]|\s)+$")
 ORDINARY, FILLER, NOTICE, ERROR, BESIDE = "ordinary", "filler", "notice", "error", "beside"
 
 
+_GATE = Gate(filler=_FILLER_WORDS, notice=_NOTICE, error=_ERROR_WORDS)
+
+
 def classify(template: str) -> str:
     """The verdict on one template, by what it says."""
     low = re.findall(r"[a-z]+", template.lower())
     if len(low) >= 3 and sum(w in _LATIN for w in low) >= 0.7 * len(low) and any(w in _LATIN and len(w) > 4 for w in low):
         return FILLER
-    if _FILLER.search(template) and not _QUOTED_MENTION.search(template):
+    may = _GATE.may_match(template)
+    if (may & _GATE.bit["filler"] and _FILLER_WORDS.search(template) or _FILLER_LETTERS.search(template)) and not _QUOTED_MENTION.search(template):
         return FILLER
-    if _NOTICE.search(template):
+    if may & _GATE.bit["notice"] and _NOTICE.search(template):
         return NOTICE
-    if _ERROR.search(template):
+    if may & _GATE.bit["error"] and _ERROR_WORDS.search(template) or _ERROR_CODES.search(template):
         return ERROR
     return BESIDE if _BESIDE.search(template) else ORDINARY
 
@@ -499,13 +511,14 @@ def cases(parsed: DataFrame) -> DataFrame:
     """(page_table, id, row) of the rows of parse() that are cases."""
     rows = parsed.where("record is null")
     flagged = verdicts(parsed.where("record is not null").select("record", "key", "n", "pages", "alone", "hosts"))
-    said = rows.where("not slot").select("page_table", "id", "row", "visitors", "real", F.explode("sayings").alias("saying"))
+    said = rows.where("not slot").select("row", F.explode("sayings").alias("saying"))
     said = said.withColumn("counts", F.pmod("saying", F.lit(2))).withColumn("key", F.col("saying") - F.col("counts"))
-    found = said.join(flagged, "key").groupBy("page_table", "id", "row", "visitors", "real").agg(
+    hits = meet(said, flagged, ["key"], "inner", "flagged-records").groupBy("row").agg(
         F.count_if(F.col("verdict") == FILLER).alias("filler"),
         F.count_if(F.col("verdict").isin(ERROR, NOTICE)).alias("residue"),
         F.sum("counts").alias("unreal"),
     )
+    found = meet(rows.select("page_table", "id", "row", "visitors", "real"), hits.where("filler + residue > 0"), ["row"], "inner", "rows-with-residue", 1)
     is_page = F.col("page_table") != MESSAGES
     whole = (F.col("residue") > 0) & F.col("visitors") & (~is_page | (F.col("real") <= F.col("unreal")))
     return rows.where("slot").select("page_table", "id", "row").unionByName(found.where((F.col("filler") > 0) | whole).select("page_table", "id", "row"))

@@ -70,21 +70,32 @@ def test_hot_group(spark):
     assert got.count() == 999 and {r.first_id for r in got.collect()} == {0}
 
 
-@settings(max_examples=50, deadline=None)
-@given(st.lists(st.lists(st.integers(-(2**63), 2**63 - 1), max_size=30), min_size=1, max_size=5))
-def test_filter_misses_no_repeat(parts):
-    bits = fd.MIN_BITS
-    seen, again = np.zeros(bits // 8, np.uint8), np.zeros(bits // 8, np.uint8)
-    for p in parts:
-        fd.merge_into(seen, again, *fd.build_partial(iter([np.array(p, np.int64)]), bits))
-    flat = [x for p in parts for x in p]
-    repeated = np.array(sorted({x for x in flat if flat.count(x) > 1}), np.int64)
-    assert fd.has_bits(again, fd.probes(repeated, bits)).all()
-
-
-def test_filter_spares_singles(spark):
-    df = spark.range(20000).select(F.xxhash64("id").alias("hash"))
-    bits = fd.filter_bits(20000)
-    bitmap = fd.repeat_filter(df, bits)
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(-(2**63), 2**63 - 1), min_size=1, max_size=60), st.integers(0, 6))
+def test_places_stay_in_the_range(values, power):
+    bits, ranges = fd.MIN_BITS << power, 1 << power
+    hashes = np.array(values, np.int64)
+    own = bits // ranges
+    for p in fd.filter_places(hashes, bits, ranges):
+        assert (p // own == fd.range_of(hashes, ranges)).all()
+
+
+@pytest.mark.parametrize("range_rows", [fd.RANGE_ROWS, 500])
+def test_filter_misses_no_repeat_and_spares_singles(spark, range_rows, monkeypatch):
+    monkeypatch.setattr(fd, "RANGE_ROWS", range_rows)
+    df = spark.range(21000).select(F.xxhash64(F.col("id") % 20000).alias("hash")).repartition(6)
+    bits = fd.filter_bits(21000)
+    ranges = fd.ranges_of(21000, bits)
+    assert (ranges > 1) == (range_rows == 500)
+    bitmap = fd.repeat_filter(df, bits, 21000)
     hashes = np.array([r.hash for r in df.collect()], np.int64)
-    assert fd.has_bits(bitmap, fd.probes(hashes, bits)).mean() < 0.05
+    unique, counts = np.unique(hashes, return_counts=True)
+    hit = fd.has_bits(bitmap, fd.filter_places(unique, bits, ranges))
+    assert hit[counts > 1].all() and hit[counts == 1].mean() < 0.02
+
+
+def test_filter_beyond_its_size_stays_exact(spark, monkeypatch):
+    monkeypatch.setattr(fd, "MAX_BITS", fd.MIN_BITS)
+    monkeypatch.setattr(fd, "RANGE_ROWS", 1000)
+    df = spark.range(60000).select(F.col("id").alias("lead_id"), F.concat(F.lit("h"), F.col("id") % 40000, F.lit(".example")).alias("Website"), F.lit("02 5550 1111").alias("Mobile Number"))
+    assert fd.copies(df, "lead_id", "Website", "Mobile Number").count() == 20000

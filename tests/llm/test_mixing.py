@@ -12,17 +12,21 @@ from leadmill.llm import mixing
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 500), min_size=1, max_size=6), st.integers(1, 20), st.integers(0, 99))
 def test_split_is_exact(counts, shards, seed):
-    out = mixing.split(np.array(counts), shards, np.random.default_rng(seed))
+    out = mixing.split(np.array(counts), shards, seed)
     assert (out.sum(0) == counts).all() and (out >= 0).all()
     sizes = out.sum(1)
     assert sizes.max() - sizes.min() <= shards.bit_length() + 1
 
 
-def test_cut():
-    whole, at, left = mixing.cut(np.array([5, 0, 7, 3]), np.array([2, 1, 0, 3]), 9)
-    assert list(whole) == [2, 1] and at == 0 and left == 2
-    whole, at, left = mixing.cut(np.array([5, 7]), np.array([0, 1]), 12)
-    assert list(whole) == [0, 1] and at == -1
+@settings(max_examples=30, deadline=None)
+@given(st.lists(st.integers(0, 300), min_size=1, max_size=4), st.integers(1, 70), st.sampled_from([2, 3, 8]))
+def test_the_tree_does_not_depend_on_how_it_is_handed_on(counts, shards, fan):
+    nodes = [(0, shards, np.array(counts), np.zeros(len(counts), int))]
+    while any(h - l > 1 for l, h, _, _ in nodes):
+        nodes = [x for l, h, n, s in nodes for x in mixing.grow("m", l, h, n, s, 5, fan)]
+    assert (np.array([n for _, _, n, _ in nodes]) == mixing.split(np.array(counts), shards, 5, "m")).all()
+    held = np.array([n for _, _, n, _ in nodes])
+    assert (np.array([s for _, _, _, s in nodes]) == np.cumsum(held, 0) - held).all()
 
 
 DOCS = "doc_id bigint, text string, source string, mix string, shard int, copy int, block int"
@@ -71,6 +75,23 @@ def test_short_source_takes_its_cap(spark):
     assert r.mixed_tokens == 2 * r.source_tokens and not r.met
 
 
+def test_many_shards_targets_and_groups(spark, monkeypatch):
+    """Small bounds give the same mix: no result hangs on them; more targets than any of them are allowed."""
+    df = build(spark)
+    targets = spark.createDataFrame([(f"m{k % 3}", s, 0.4, 3, 0.7) for k in range(3) for s in ("big", "small")] + [(f"x{k}", f"none{k}", 1.0, 1, 0.5) for k in range(1500)], TARGETS)
+    usual = sorted(map(tuple, mixing.mix(df, targets, shard_tokens=200)[0].collect()))
+    monkeypatch.setattr(mixing, "FAN", 2)
+    monkeypatch.setattr(mixing, "MAX_SENT", 1)
+    assert sorted(map(tuple, mixing.mix(df, targets, shard_tokens=200)[0].collect())) == usual
+    assert len({r[:2] for r in usual}) > 12
+    monkeypatch.setattr(mixing, "GROUP", 7)
+    mixed, report = mixing.mix(df, targets, shard_tokens=200)
+    largest = max(r[-1] for r in usual)
+    for r in report.where("mixed_tokens > 0").collect():
+        assert abs(r.mixed_tokens - r.quota_tokens) <= largest
+    assert report.count() == 1506
+
+
 def test_empty(spark):
     df = build(spark).limit(0)
     targets = spark.createDataFrame([("m", "big", 1.0, 1, 1.0)], TARGETS)
