@@ -288,7 +288,9 @@ def script_urls(page: Column) -> Column:
 
 def page_social(html: Column, page: Column, platform: str) -> Column:
     """Links of a platform in the text, and whole links of the page that match."""
-    hrefs = F.filter(F.transform(page["links"], lambda x: x["href"]), lambda h: h.rlike(social.PATTERNS[platform]))
+    # a link without a scheme has the page's; any other relative link leads to the page's own host
+    full = F.transform(page["links"], lambda x: F.when(x["href"].startswith("//"), F.concat(F.lit("https:"), x["href"])).otherwise(x["href"]))
+    hrefs = F.filter(full, lambda h: h.rlike(social.PATTERNS[platform]))
     whole = F.filter(F.transform(hrefs, social.clean_social_url), social.kept)
     return F.array_sort(F.array_distinct(F.concat(social.from_text(html, platform), whole)))
 

@@ -51,7 +51,9 @@ def assemble(pages: DataFrame, scripts: DataFrame, bad_domains: list[str] | None
     kinds = ["emails", "phones", "addresses", *SOCIAL]
     sets = facts.groupBy("site").agg(*[F.array_sort(F.collect_list(F.when(F.col("kind") == k, F.col("value")))).alias(k) for k in kinds])
     counts = pages.groupBy("site").agg(F.count("*").alias("pages_crawled"), F.min("error").alias("error_message"))
-    home = fit.where("is_home").groupBy("site").agg(F.min_by("html", "url").alias("home")).select("site", html.markdown("home").alias("homepage_markdown"))
+    # the text is made before the exchange, so raw pages are not shuffled
+    home = spread(fit.where("is_home").select("site", "url", "html")).select("site", "url", html.markdown("html").alias("markdown"))
+    home = home.groupBy("site").agg(F.min_by("markdown", "url").alias("homepage_markdown"))
     out = counts.join(sets, "site", "left").join(home, "site", "left")
     any_data = F.lit(False)
     for k in kinds:

@@ -13,6 +13,7 @@ from pyspark.sql.window import Window
 
 from leadmill.functions import urls
 from leadmill.functions.text import digits_only, has_value
+from leadmill.session import materialize
 
 
 def keep_first(df: DataFrame, key: Column, *order: Column | str) -> DataFrame:
@@ -60,20 +61,24 @@ def cascade(df: DataFrame, website: str, phone: str, ord_col: str) -> DataFrame:
     return dedupe_by_site(dedupe_by_phone(with_contact(df, website, phone), phone, ord_col), website, ord_col)
 
 
+#: The stages of the cascade; its third pass removes nothing.
+STAGES = ["input", "has_contact", "phone", "website", "phone_and_website"]
+
+
 def stage_counts(df: DataFrame, website: str, phone: str, ord_col: str) -> DataFrame:
     """(stage, n_rows, n_removed) of the cascade."""
     slim = df.select(website, phone, ord_col)
-    kept = with_contact(slim, website, phone)
-    by_phone = dedupe_by_phone(kept, phone, ord_col)
-    by_site = dedupe_by_site(by_phone, website, ord_col)
-    counted = [
-        d.agg(F.count("*").alias("n_rows")).select(F.lit(k).alias("k"), F.lit(name).alias("stage"), "n_rows")
-        for k, (name, d) in enumerate([("input", slim), ("has_contact", kept), ("phone", by_phone), ("website", by_site), ("phone_and_website", by_site)])
-    ]
-    out = counted[0]
-    for c in counted[1:]:
-        out = out.unionByName(c)
-    before = F.lag("n_rows").over(Window.orderBy("k"))
+    # one scan counts the input and the rows with a contact; what is left by phone is written down once and counted twice
+    contact = has_value(F.col(website)) | has_value(F.col(phone))
+    by_phone = materialize(dedupe_by_phone(with_contact(slim, website, phone), phone, ord_col), "by-phone")
+    named = lambda **counts: F.inline(F.array(*[F.struct(F.lit(k).alias("stage"), c.alias("n_rows")) for k, c in counts.items()]))
+    n = F.count("*")
+    out = (
+        slim.agg(n.alias("a"), F.count_if(contact).alias("b")).select(named(input=F.col("a"), has_contact=F.col("b")))
+        .unionByName(by_phone.agg(n.alias("a")).select(named(phone=F.col("a"))))
+        .unionByName(dedupe_by_site(by_phone, website, ord_col).agg(n.alias("a")).select(named(website=F.col("a"), phone_and_website=F.col("a"))))
+    )
+    before = F.lag("n_rows").over(Window.orderBy(F.array_position(F.lit(STAGES), F.col("stage"))))
     return out.withColumn("n_removed", F.coalesce(before - F.col("n_rows"), F.lit(0)).cast("bigint")).select("stage", "n_rows", "n_removed")
 
 

@@ -1,10 +1,11 @@
 """Split fields that hold several values into one row per value, with its place.
 
 A finite-state tokenizer walks the text once. It tracks quoting (double or single
-list quotes, doubled quotes, backslash escapes) and the nesting depth of brackets,
-and cuts only at delimiters outside of both. Dress that is not part of the value
-(labels, numbering, list quotes, remarks after a phone number) is taken off after
-the cut, so that every value keeps its ordinal in the field.
+list quotes, doubled quotes, backslash escapes), the nesting depth of brackets and the next
+number of a numbered list, and cuts only at delimiters outside of quotes and brackets. All cuts are made by it: delimiters
+are characters, connective words between phone numbers, labels of sites and numbers of a list. Dress that is not
+part of the value (labels, list quotes, remarks after a phone number) is taken off after
+the cut, so that every value keeps its ordinal in the field. Time is linear in the text.
 
 Defined results
 ---------------
@@ -19,6 +20,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,30 +35,41 @@ def tokenize(
     text: str,
     is_delimiter: Callable[[str, int, int], int],
     single_quotes: bool = False,
+    taken: Callable[[str, int], int] | None = None,
 ) -> list[tuple[str, bool]]:
     """Cut ``text`` at delimiters outside quotes and brackets.
 
-    ``is_delimiter(text, i, depth)`` gives the length of a delimiter at ``i`` or 0.
-    A quote opens a quoted value only at the start of a piece, and only if its
+    ``is_delimiter(text, i, depth)`` gives the length of a delimiter at ``i`` or 0, ``taken(text, i)`` the length of what is
+    part of a piece whatever it holds. A quote opens a quoted value only at the start of a piece, and only if its
     closing quote is followed by a delimiter or the end. Gives (piece, was quoted).
     """
     pieces: list[tuple[str, bool]] = []
     start, i, depth, n = 0, 0, 0, len(text)
+    blank = True
+    closing = {c: text.rfind(c) for c in _CLOSE}
+    #: quotes of a kind that no closing one follows, wherever they stand from here on
+    unclosed: set[str] = set()
     while i < n:
         c = text[i]
-        if (c == '"' or (single_quotes and c == "'")) and not text[start:i].strip():
+        if blank and c not in unclosed and (c == '"' or (single_quotes and c == "'")):
             value, end = _quoted(text, i, c, is_delimiter)
-            if end:
+            if end > 0:
                 pieces.append((value, True))
                 i = end
                 while i < n and text[i].isspace() and not is_delimiter(text, i, 0):
                     i += 1
                 i += is_delimiter(text, i, 0) if i < n else 0
-                start, depth = i, 0
+                start, depth, blank = i, 0, True
                 continue
+            if end < 0:
+                unclosed.add(c)
+        if taken is not None and (size := taken(text, i)):
+            i += size
+            blank = False
+            continue
         if c in _OPEN:
             # an opening bracket without its closing one does not nest
-            if text.find(_CLOSE[_OPEN.index(c)], i) > 0:
+            if closing[_CLOSE[_OPEN.index(c)]] > i:
                 depth += 1
         elif c in _CLOSE:
             depth = max(0, depth - 1)
@@ -64,15 +77,16 @@ def tokenize(
         if size:
             pieces.append((text[start:i], False))
             i += size
-            start, depth = i, 0
+            start, depth, blank = i, 0, True
         else:
+            blank = blank and c.isspace()
             i += 1
     pieces.append((text[start:], False))
     return pieces
 
 
 def _quoted(text: str, i: int, quote: str, is_delimiter: Callable[[str, int, int], int]) -> tuple[str, int]:
-    """The value quoted from ``i`` on and the place behind it, or ("", 0)."""
+    """The value quoted from ``i`` on and the place behind it; the place is 0 if this quote opens no value, -1 if no later one does."""
     out: list[str] = []
     j, n = i + 1, len(text)
     while j < n:
@@ -97,7 +111,7 @@ def _quoted(text: str, i: int, quote: str, is_delimiter: Callable[[str, int, int
         else:
             out.append(c)
             j += 1
-    return "", 0
+    return "", -1
 
 
 def _given(value: str) -> bool:
@@ -106,42 +120,83 @@ def _given(value: str) -> bool:
 
 # --- e-mail ---------------------------------------------------------------
 
-_ADDRESS = re.compile(r"[^\s<>\"(),;:|\[\]\\/&]+@[^\s<>\"(),;:|\[\]\\/&?@]+")
+#: Characters that no bare address holds: each ends a piece.
+_EMAIL_ENDS = frozenset(" \t\n\r\x0b\x0c<>(),;:|[]\\/&")
+#: A quoted local part belongs to its address.
+_QUOTED_LOCAL = re.compile(r'"(?:[^"\\]|\\.)*"(?=@)')
+#: A quoted display name, which may itself hold an address, in front of one in angle brackets.
+_DISPLAY_NAME = re.compile(r"\s*<")
 
 
 def _email_delimiter(text: str, i: int, depth: int) -> int:
-    return 1 if text[i] in ",;|\n\t" and not depth else 0
+    c = text[i]
+    return 1 if c in _EMAIL_ENDS or c.isspace() else 0
+
+
+def _quoted_local(text: str, i: int) -> int:
+    m = _QUOTED_LOCAL.match(text, i) if text[i] == '"' else None
+    return m.end() - i if m else 0
 
 
 def split_emails(text: str) -> list[str]:
     """Bare addresses in the order written. Names, quoted or not, labels, schemes and
-    angle brackets fall away: between delimiters, each address found is a value."""
+    angle brackets fall away: each piece between delimiters is an address or none."""
+    # the place behind a quoted name tells whether an address in angle brackets follows
+    bare = _NAME_AHEAD.sub(" ", text)
     values: list[str] = []
-    for piece, _ in tokenize(text, _email_delimiter, single_quotes=True):
-        # a quoted display name may itself hold an address; it is a name
-        named = re.sub(r'^\s*"(?:[^"\\]|\\.|"")*"\s*(?=<)', "", piece)
-        for found in _ADDRESS.findall(named):
-            value = found.strip("'`.").lstrip("-=*•")
-            if "@" in value and not value.startswith("@"):
-                values.append(value)
+    for piece, quoted in tokenize(bare, _email_delimiter, single_quotes=True, taken=_quoted_local):
+        values += split_emails(piece) if quoted and piece != text else _address(piece)
     return values
 
 
+_NAME_AHEAD = re.compile(r'"(?:[^"\\]|\\.|"")*"\s*(?=<)')
+
+
+def _address(piece: str) -> list[str]:
+    """The address a piece is, in a list; a second @ or a question mark ends it."""
+    at = piece.rfind('"@') + 1 if piece.startswith('"') and '"@' in piece else piece.find("@")
+    if at <= 0:
+        return []
+    local, domain = piece[:at], re.split(r"[?@\"]", piece[at + 1 :], maxsplit=1)[0]
+    if not local.startswith('"'):
+        local = local.rpartition('"')[2]
+    value = f"{local}@{domain}".strip("'`.").lstrip("-=*•")
+    return [value] if local and domain and "@" in value and not value.startswith("@") else []
+
+
 # --- phone ----------------------------------------------------------------
 
 _EXTENSION = r"(?:ext(?:ension|n)?|x|durchwahl|dw|poste|anexo)"
-_REMARK = re.compile(r"\s*[(\[][^()\[\]]*[^\W\d_][^()\[\]]*[)\]]\s*")
+_REMARK = re.compile(r"(?<!\s)\s*+[(\[][^()\[\]]*[^\W\d_][^()\[\]]*[)\]]\s*")
 _WORD_BETWEEN = re.compile(
-    rf"(?<=[\d)])\s*(?:&|\+(?=\s)|(?<=[\s\d)])(?!{_EXTENSION}\b\.?|x\d)[^\W\d_][^\W\d_.\-]*(?:[ \-][^\W\d_]+)*)"
+    rf"(?<=[\d)\]])\s*(?:&|\+(?=\s)|(?<=[\s\d)\]])(?!{_EXTENSION}\b\.?|x\d)[^\W\d_][^\W\d_.\-]*(?:[ \-][^\W\d_]+)*)"
     r"\.?(?:\s*\d{1,2}\s*(?=:))?\s*:?\s*(?=[+(\d])",
     re.IGNORECASE,
 )
 #: Whole numbers without inner spaces may be set apart by a space alone.
 _COMPACT = re.compile(r"(?<=\d{9})\s+(?=\+?\d{9}|\+\d{1,3}[\s(.-]|\(\d)")
-_PHONE_LABEL = re.compile(r"^[^\d+(]*?[^\W\d_][^\d:+(]*(?:\s*\d{1,2})?\s*:\s*|^[^\d+(]+", re.IGNORECASE)
+_LEAD, _LETTER, _ENDS_LABEL = re.compile(r"[^\d+(]*"), re.compile(r"[^\W\d_]"), re.compile(r"\d{1,2}\s*:\s*")
 _PHONE_VALUE = re.compile(rf"^[+(\d].*?\d(?=[^\d]*$)|^[+(\d].*{_EXTENSION}\.?\s*\d+", re.IGNORECASE | re.DOTALL)
 
 
+_REMARK_BEHIND = re.compile(r"(?<=[)\]])\s+(?=\+?\d{9}|\+\d{1,3}[\s(.-]|\(\d)")
+_WHOLE = re.compile(r"\d{9}\s*$")
+
+
+def _behind_remark(text: str, i: int) -> int:
+    """The white space at ``i`` between a remark behind a whole number and the next number, else 0."""
+    if i == 0 or text[i - 1] not in ")]":
+        return 0
+    m = _REMARK_BEHIND.match(text, i)
+    start = max(text.rfind("(", 0, i), text.rfind("[", 0, i)) if m else -1
+    if start <= 0 or not _LETTER.search(text, start, i):
+        return 0
+    end = start
+    while end > 0 and text[end - 1].isspace():
+        end -= 1
+    return m.end() - i if end >= 9 and _WHOLE.match(text, end - 9, end) else 0
+
+
 def _digits_about(text: str, i: int, step: int) -> int:
     """Digits from ``i`` on in one direction up to a delimiter or a word."""
     count, j = 0, i
@@ -157,6 +212,10 @@ def _phone_delimiter(text: str, i: int, depth: int) -> int:
         return 0
     if c in ",;|\n\t•":
         return 1
+    if (c.isspace() or c in "&+" or c.isalpha()) and (m := _WORD_BETWEEN.match(text, i) or _COMPACT.match(text, i)):
+        return m.end() - i
+    if c.isspace() and (size := _behind_remark(text, i)):
+        return size
     if c == "/":
         if text[i : i + 2] == "//":
             return 2
@@ -170,15 +229,26 @@ def _phone_delimiter(text: str, i: int, depth: int) -> int:
     return 0
 
 
+def _without_label(part: str) -> str:
+    """A part without what stands in front of its number: a label up to its colon (with a number of one or two digits), else all that is no number."""
+    lead = _LEAD.match(part).group()
+    letter = _LETTER.search(lead)
+    if letter is not None:
+        colon = lead.find(":", letter.end())
+        if colon >= 0:
+            return part[colon + 1 :].lstrip()
+        if m := _ENDS_LABEL.match(part, len(lead)):
+            return part[m.end() :]
+    return part[len(lead) :]
+
+
 def split_phones(text: str) -> list[str]:
     """Numbers in the order written, with their extensions, without labels and remarks."""
     values: list[str] = []
-    listed = [p for part in _numbered(text) for p in tokenize(part, _phone_delimiter, single_quotes=True)]
-    for piece, _ in listed:
-        for part in (q for p in _WORD_BETWEEN.split(_REMARK.sub(" ", piece)) for q in _COMPACT.split(p)):
-            part = _PHONE_LABEL.sub("", part.strip(), count=1)
-            if m := _PHONE_VALUE.match(part):
-                values.append(m.group().strip())
+    for piece, _ in tokenize(text, numbered(text, _phone_delimiter), single_quotes=True):
+        part = _without_label(_REMARK.sub(" ", piece).strip())
+        if m := _PHONE_VALUE.match(part):
+            values.append(m.group().strip())
     return values
 
 
@@ -195,10 +265,16 @@ _SITE = (
 _SITE_LABEL = re.compile(rf"^\s*{_SITE}(?:\s*(?:no\.?\s*)?#?\d{{1,2}})?\s*(?::\s*|\s[-–—]\s+)", re.IGNORECASE)
 _SITE_AHEAD = re.compile(
     r"(?<!head)(?<!main)(?<!branch)(?<!registered)(?<!postal)(?<!billing)(?<!site)(?<!sales)(?<!regional)"
-    rf"(?:[,\s]\s*(?={_SITE}(?:\s*#?\d{{1,2}})?\s*:\s)|,\s*(?={_SITE}\s[-–—]\s))",
+    rf"(?:(?:,|(?<!\s)\s)\s*+(?={_SITE}(?:\s*#?\d{{1,2}})?\s*:\s)|,\s*+(?={_SITE}\s[-–—]\s))",
     re.IGNORECASE,
 )
-_MARK = re.compile(r"(?:^|(?<=[\s;|,]))(?:\(([1-9]\d?)\)|([1-9]\d?)\))\s+")
+_MARK = re.compile(r"(?:^|(?<=[\s;|,]))(?:\(([1-9]\d*)\)|([1-9]\d*)\))\s+")
+
+
+@lru_cache(maxsize=4)
+def _edges(text: str) -> tuple[int, int]:
+    """The first and the last place of a text that is no white space."""
+    return len(text) - len(text.lstrip()), len(text.rstrip()) - 1
 
 
 def _address_delimiter(text: str, i: int, depth: int) -> int:
@@ -209,16 +285,22 @@ def _address_delimiter(text: str, i: int, depth: int) -> int:
         return 0
     if c in "|;•\t":
         return 1
+    if (c == "," or c.isspace()) and (m := _SITE_AHEAD.match(text, i)):
+        return m.end() - i
     if c == "\n":
         # a line break behind a comma is inside one address
-        return 0 if text[:i].rstrip(" \t\r").endswith(",") and text[i:].strip() else 1
+        k = i - 1
+        while k >= 0 and text[k] in " \t\r":
+            k -= 1
+        return 0 if k >= 0 and text[k] == "," and _edges(text)[1] > i else 1
     if c == "/":
         before, after = text[i - 1 : i] if i else "", text[i + 1 : i + 2]
         if not before or not after or (before.isspace() and (after.isspace() or after == "/")):
             return 1
         if after.isspace() and not before.isdigit():
             return 1
-        if before == "/" or not text[i + 1 :].strip() or not text[:i].strip():
+        first, last = _edges(text)
+        if before == "/" or last <= i or first >= i:
             return 1
     return 0
 
@@ -227,20 +309,25 @@ def _comma_between_quotes(text: str, i: int, depth: int) -> int:
     return 1 if text[i] == "," else _address_delimiter(text, i, depth)
 
 
-def _numbered(text: str) -> list[str]:
-    """Parts of a list numbered 1, 2, 3 from its start on, else the text itself."""
-    marks = list(_MARK.finditer(text))
-    if not marks or text[: marks[0].start()].strip(" ;|,\n\t"):
-        return [text]
-    cuts, expected = [], 1
-    for m in marks:
-        if int(m.group(1) or m.group(2)) == expected:
-            cuts.append(m)
+def numbered(text: str, is_delimiter: Callable[[str, int, int], int]) -> Callable[[str, int, int], int]:
+    """A delimiter that also cuts at the numbers 1), 2), 3) of a list, if the text starts with the first of them."""
+    first = _MARK.match(text, len(text) - len(text.lstrip(" ;|,\n\t")))
+    if first is None or (first.group(1) or first.group(2)) != "1":
+        return is_delimiter
+    places = {first.start(): first.end()}
+    expected = 2
+
+    def cut(text: str, i: int, depth: int) -> int:
+        nonlocal expected
+        if i in places:
+            return places[i] - i
+        if text[i] in "(123456789" and (m := _MARK.match(text, i)) and int(m.group(1) or m.group(2)) == expected:
+            places[i] = m.end()
             expected += 1
-    if not cuts or cuts[0] is not marks[0]:
-        return [text]
-    ends = [m.start() for m in cuts[1:]] + [len(text)]
-    return [text[m.end() : e] for m, e in zip(cuts, ends)]
+            return m.end() - i
+        return is_delimiter(text, i, depth)
+
+    return cut
 
 
 def split_addresses(text: str) -> list[str]:
@@ -253,19 +340,13 @@ def split_addresses(text: str) -> list[str]:
         if any(not quoted and p.strip() for p, quoted in pieces):
             pieces = tokenize(text, _address_delimiter, single_quotes=True)
     else:
-        pieces = [
-            piece
-            for part in _numbered(text)
-            for piece in tokenize(part, _address_delimiter)
-        ]
+        pieces = tokenize(text, numbered(text, _address_delimiter))
     for piece, quoted in pieces:
-        parts = [piece] if quoted else _SITE_AHEAD.split(piece)
-        for part in parts:
-            value = _SITE_LABEL.sub("", part, count=1).strip()
-            value = value.strip().rstrip(",").rstrip() if not quoted else value
-            value = re.sub(r"^(?:[•*|]|-(?=\s))\s*", "", value)
-            if value.strip("/|;,• ") and _given(value):
-                values.append(value)
+        value = _SITE_LABEL.sub("", piece, count=1).strip()
+        value = value.strip().rstrip(",").rstrip() if not quoted else value
+        value = re.sub(r"^(?:[•*|]|-(?=\s))\s*", "", value)
+        if value.strip("/|;,• ") and _given(value):
+            values.append(value)
     return values
 
 

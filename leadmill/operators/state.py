@@ -55,6 +55,24 @@ def _numbered(df: DataFrame, order: str) -> DataFrame:
     )
 
 
+def numbered_within(df: DataFrame, key: str, *order: str) -> DataFrame:
+    """Rows with ``place`` from 1 within each key, in an order: range partitions, written down once, cut a hot key into
+    several tasks; what stands before a partition is added to the places in it."""
+    parted = materialize(df.repartitionByRange(F.col(key), *order).withColumn("__part", F.spark_partition_id()), "numbered")
+    sizes = parted.groupBy(key, "__part").agg(F.count("*").alias("__size"))
+    earlier = Window.partitionBy(key).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select(F.col(key).alias("__key"), "__part", F.coalesce(F.sum("__size").over(earlier), F.lit(0)).alias("__before"))
+    placed = parted.withColumn("__k", F.row_number().over(Window.partitionBy("__part", key).orderBy(*order)))
+    met = placed.join(before, (placed["__part"] == before["__part"]) & placed[key].eqNullSafe(before["__key"]))
+    return met.select(*df.columns, (F.col("__before") + F.col("__k")).alias("place"))
+
+
+def load_queue(incoming: DataFrame, url: str, ord_col: str, websites: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The new sites of a URL list, and the empty result row of each."""
+    fresh = materialize(new_urls(incoming, url, ord_col, websites), "new-sites")
+    return fresh, pending_results(fresh)
+
+
 def pending_results(fresh: DataFrame) -> DataFrame:
     """The empty result rows of new sites."""
     return fresh.select(F.col("id").alias("website_id"), "url", "status", *[F.lit("").alias(c) for c in ("email", "phone", "address")])

@@ -11,9 +11,9 @@ from pyspark.sql.window import Window
 from leadmill.functions import dates, emails, html, phones, social, status, text, urls
 from leadmill.operators import columns, crawl, dedupe, exports, state
 from leadmill.operators.packed_fields import unpack_fields
-from leadmill.plans import catalog_listings
+from leadmill.plans import catalog_html, catalog_io, catalog_listings
 from leadmill.plans import sql_parts as S
-from leadmill.session import spread, table
+from leadmill.session import materialize, spread, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -244,9 +244,12 @@ _BY_SITE = f"SELECT site, list_sort(list_distinct(flatten(list({S.emails_of('tex
 @query(f"SELECT site, {S.labeled('found')} AS email, len(found) AS n_emails FROM ({_BY_SITE})")
 def emails_labeled(spark, sf_dir):
     each = table(spark, sf_dir, "documents").where("site is not null").select("site", F.explode_outer(emails.from_text(F.col("text"))).alias("e"))
-    # distinct pairs first: a site with a third of all documents is reduced before it is collected
-    found = each.distinct().groupBy("site").agg(F.array_sort(F.collect_list("e")).alias("found"))
-    return found.select("site", emails.labeled(F.col("found")).alias("email"), F.size("found").cast("bigint").alias("n_emails"))
+    pairs = materialize(each.distinct(), "site-emails")
+    # only what is shown is collected, the first addresses of a site; all are counted
+    place = F.row_number().over(Window.partitionBy("site").orderBy(F.col("e").asc_nulls_last()))
+    shown = pairs.withColumn("place", place).where(F.col("place") <= emails.MAX_LABELED).groupBy("site").agg(F.array_sort(F.collect_list("e")).alias("found"))
+    counts = pairs.groupBy("site").agg(F.count("e").alias("n_emails"))
+    return shown.join(counts, "site").select("site", emails.labeled(F.col("found")).alias("email"), "n_emails")
 
 
 @query(f"""SELECT site, {', '.join(f"coalesce(found[{i}], '') AS email_{i}" for i in range(1, 11))} FROM ({_BY_SITE})""")
@@ -437,13 +440,14 @@ def keyword_totals(spark, sf_dir):
     SELECT keyword, lead_id, title, row_number() OVER (PARTITION BY keyword ORDER BY lead_id) AS place FROM o""")
 def results_by_keyword(spark, sf_dir):
     each = table(spark, sf_dir, "final_output").select(F.col("Search Term").alias("keyword"), "lead_id", text.or_not_available(F.col("Title")).alias("title"))
-    # places in a keyword without collecting it: a hot keyword is sorted, not held
-    return each.withColumn("place", F.row_number().over(Window.partitionBy("keyword").orderBy("lead_id")).cast("bigint"))
+    return state.numbered_within(each, "keyword", "lead_id").withColumn("place", F.col("place").cast("bigint"))
 
 
-@query("SELECT keyword, max_by(href, href) AS href, count(*) AS n FROM progress GROUP BY keyword")
+@query('SELECT "Search Term" AS keyword, arg_max(coalesce("Google Maps URL", \'\'), lead_id) AS href, count(*) AS n FROM final_output WHERE "Search Term" IS NOT NULL GROUP BY 1')
 def progress_last(spark, sf_dir):
-    return table(spark, sf_dir, "progress").groupBy("keyword").agg(F.max_by("href", "href").alias("href"), F.count("*").alias("n"))
+    """The last link of each keyword by the order of the rows."""
+    rows = table(spark, sf_dir, "final_output").where(F.col("Search Term").isNotNull())
+    return rows.groupBy(F.col("Search Term").alias("keyword")).agg(F.max_by(F.coalesce("Google Maps URL", F.lit("")), "lead_id").alias("href"), F.count("*").alias("n"))
 
 
 # --- exports ---------------------------------------------------------------------------------
@@ -593,16 +597,14 @@ def html_emails(spark, sf_dir):
     return parsed_pages(spark, sf_dir).select("id", F.explode(html.page_emails(F.col("html"), F.col("page"))).alias("email"))
 
 
-@query("""SELECT id, '+1 (780) ' || left(p, 3) || '-' || right(p, 4) AS phone FROM (SELECT id, lpad(CAST(id * 37 % 10000000 AS VARCHAR), 7, '2') AS p FROM websites WHERE domain IS NOT NULL)
-    WHERE NOT regexp_matches('1780' || p, '1234567')""")
+@query()
 def html_phones(spark, sf_dir):
-    return html.page_phones(parsed_pages(spark, sf_dir).where("domain is not null"), "id", "page", "domain").where("phone like '+1 (780)%'")
+    return html.page_phones(parsed_pages(spark, sf_dir).where("domain is not null"), "id", "page", "domain")
 
 
-@query("SELECT id, (id % 300 + 1) || ' Harrow Street, Oldtown, BC V5K 0A' || (id % 10) AS address FROM websites")
+@query()
 def json_ld_addresses(spark, sf_dir):
-    known = parsed_pages(spark, sf_dir).select("id", "place", F.explode(html.page_addresses(F.col("page"))).alias("address"))
-    return known.where("address = place").select("id", "address")
+    return parsed_pages(spark, sf_dir).select("id", F.explode(html.page_addresses(F.col("page"))).alias("address"))
 
 
 @query()
@@ -639,5 +641,6 @@ def crawl_assembly(spark, sf_dir):
     return crawl.assemble(pages, scripts)
 
 
-QUERIES.update(catalog_listings.QUERIES)
-SQL.update(catalog_listings.SQL)
+for more in (catalog_listings, catalog_io, catalog_html):
+    QUERIES.update(more.QUERIES)
+    SQL.update(more.SQL)

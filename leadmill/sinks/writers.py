@@ -13,7 +13,7 @@ import shutil
 import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadmill.functions.text import or_not_available
@@ -36,14 +36,38 @@ def append_progress(df: DataFrame, path: str) -> None:
     df.select("keyword", "href").write.mode("append").parquet(path)
 
 
+def _paths(spark: SparkSession, path: str):
+    """The Hadoop file system of a table, and the paths of its present, next and last version."""
+    of = spark._jvm.org.apache.hadoop.fs.Path
+    return of(path).getFileSystem(spark._jsc.hadoopConfiguration()), *(of(path.rstrip("/") + tail) for tail in ("", ".next", ".last"))
+
+
+def recover_table(spark: SparkSession, path: str) -> None:
+    """Put a table right that a crash left between two versions: a complete next version takes its place, else the last one does."""
+    fs, now, following, last = _paths(spark, path)
+    if fs.exists(now):
+        return
+    for version in (following, last):
+        done = spark._jvm.org.apache.hadoop.fs.Path(version, "_SUCCESS")
+        if fs.exists(version) and (version is last or fs.exists(done)):
+            fs.rename(version, now)
+            return
+
+
 def replace_table(df: DataFrame, path: str) -> None:
-    """Rewrite a parquet folder: the new one is complete before the old one goes, also if ``df`` reads the old one."""
-    staged, old = f"{path}.staged-{os.getpid()}", f"{path}.old-{os.getpid()}"
-    df.write.mode("overwrite").parquet(staged)
-    if os.path.exists(path):
-        os.replace(path, old)
-    os.replace(staged, path)
-    shutil.rmtree(old, ignore_errors=True)
+    """Rewrite a parquet folder of any Hadoop file system: the new version is complete before the old one goes, also if ``df`` reads the old one.
+
+    Between the two renames the table has no present version; recover_table() mends a crash there.
+    """
+    spark = df.sparkSession
+    fs, now, following, last = _paths(spark, path)
+    df.write.mode("overwrite").parquet(str(following.toString()))
+    fs.delete(last, True)
+    if fs.exists(now) and not fs.rename(now, last):
+        raise OSError(f"cannot move {path}")
+    if not fs.rename(following, now):
+        raise OSError(f"cannot replace {path}")
+    fs.delete(last, True)
 
 
 def _atomic(path: str, write: Callable[[str], None], retries: int = 5) -> None:
@@ -173,17 +197,16 @@ def archive(paths: list[str], folder: str, now: str) -> list[str]:
     return moved
 
 
-def duration(seconds: float) -> str:
+def _clock(seconds: float) -> str:
     h, rest = divmod(int(round(seconds)), 3600)
-    m, s = divmod(rest, 60)
-    return " ".join(p for p, shown in ((f"{h}h", h), (f"{m}m", m or h), (f"{s}s", True)) if shown)
+    return f"{h}h {rest // 60}m {rest % 60}s"
 
 
 def append_summary(path: str, total: int, checked: int, seconds: float, now: str) -> str:
     """A dated block with counts, time and rates, appended to a text file."""
     rate = checked / seconds if seconds > 0 and checked > 0 else 0.0
     block = (
-        f"finished: {now}\nrecords: {total}\nchecked: {checked}\ntime: {duration(seconds)}\n"
+        f"finished: {now}\nrecords: {total}\nchecked: {checked}\ntime: {_clock(seconds)}\n"
         f"rate: {rate * 60:.1f} sites/minute, {rate * 3600:.0f} sites/hour\n\n"
     )
     with open(path, "a", encoding="utf-8") as f:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,7 @@ from leadmill.operators.dedupe import keep_first
 from leadmill.session import materialize
 from leadmill.sources import xlsx
 
-FORMATS = [".xlsx", ".xls", ".csv", ".tsv", ".txt", ".json"]
+FORMATS = [".xlsx", ".csv", ".tsv", ".txt", ".json"]
 
 
 def checked_format(path: str) -> str:
@@ -22,13 +23,16 @@ def checked_format(path: str) -> str:
     if not os.path.exists(path):
         raise FileNotFoundError(path)
     ext = os.path.splitext(path)[1].lower()
+    if ext == ".xls":
+        raise ValueError("the old binary workbook format .xls is not read; save the file as .xlsx")
     if ext not in FORMATS:
         raise ValueError(f"unsupported format {ext or '(none)'}; known: {', '.join(FORMATS)}")
     return ext
 
 
-def csv(spark: SparkSession, path: str, sep: str = ",", pandas_na: bool = False) -> DataFrame:
-    df = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("sep", sep).option("quote", '"').csv(path)
+def csv(spark: SparkSession, path: str, sep: str = ",", pandas_na: bool = False, multi_line: bool = True) -> DataFrame:
+    """All columns as text. With ``multi_line`` a quoted cell may hold line breaks, and a file is one task; without, large files are split."""
+    df = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"').option("sep", sep).option("quote", '"').csv(path)
     if pandas_na:
         df = df.select(*[nullif_pandas_na(F.col(f"`{c}`")).alias(c) for c in df.columns])
     return df
@@ -77,7 +81,7 @@ def keywords(spark: SparkSession, path: str, preferred: str = "Search Keyword",
         rows = ordered(lines(spark, path).select(py_strip(F.col("value")).alias("keyword")).where("keyword <> ''"))
         first = rows.agg(F.min("_ord")).scalar()
         return rows.where((F.col("_ord") != first) | ~F.lower("keyword").isin(named)).select("keyword")
-    df = keyword_workbook(spark, path, sheet, preferred) if ext in (".xlsx", ".xls") else csv(spark, path)
+    df = keyword_workbook(spark, path, sheet, preferred) if ext == ".xlsx" else csv(spark, path)
     name = columns.keyword_column(df.columns, preferred)
     return df.select(py_strip(F.col(f"`{name}`")).alias("keyword")).where("keyword <> ''")
 
@@ -85,7 +89,7 @@ def keywords(spark: SparkSession, path: str, preferred: str = "Search Keyword",
 def table(spark: SparkSession, path: str, sheet: str | None = None) -> DataFrame:
     """Any known format. Text files take the first separator that gives several columns, else they are one column of lines."""
     ext = checked_format(path)
-    if ext in (".xlsx", ".xls"):
+    if ext == ".xlsx":
         return workbook(spark, path, sheet)
     if ext == ".csv":
         return csv(spark, path)
@@ -140,6 +144,34 @@ def status_files(spark: SparkSession, paths: list[str]) -> tuple[DataFrame | Non
     return (reduce(DataFrame.unionByName, found) if found else None), skipped
 
 
+def csv_or_quarantine(spark: SparkSession, path: str, schema: str, bad_folder: str, now: str) -> DataFrame:
+    """A state file that may be damaged, in three steps: as it should be; else its good rows, the original kept aside under a dated
+    name; else, if no row is good, an empty table, the file moved aside."""
+    try:
+        good, bad = tolerant_csv(spark, path, schema)
+        some, damaged = not good.isEmpty(), not bad.isEmpty()
+    except Exception:  # noqa: BLE001
+        some, damaged = False, True
+    if not damaged:
+        return good
+    os.makedirs(bad_folder, exist_ok=True)
+    stem, ext = os.path.splitext(os.path.basename(path))
+    aside = os.path.join(bad_folder, f"{stem}_{now}{ext}")
+    if some:
+        shutil.copy2(path, aside)
+        return good
+    shutil.move(path, aside)
+    return spark.createDataFrame([], schema)
+
+
+def resumed(spark: SparkSession, own_output: str, status_column: str) -> DataFrame | None:
+    """The own output of an earlier run to go on from, or None for a fresh start: no file, no row, or no such column."""
+    if not os.path.exists(own_output):
+        return None
+    df = table(spark, own_output)
+    return df if status_column in df.columns and not df.isEmpty() else None
+
+
 def tolerant_csv(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
     """Good rows, and the raw text of rows that do not fit the schema."""
     raw = (

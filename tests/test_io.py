@@ -108,7 +108,7 @@ def test_tables_and_snapshots(spark, tmp_path):
 def test_names_and_summaries(tmp_path):
     assert writers.checked_name("/a/b.csv") == "/a/b_WEBSITE_CHECKED.csv"
     assert writers.output_folder("/x/y/z/in.csv", "/x/in", "OUT") == "/x/y/OUT" and writers.output_folder("/x/in/a.csv", "/x/in") == "/x/in"
-    assert writers.duration(3605) == "1h 0m 5s"
+    assert "time: 1h 0m 5s" in writers.append_summary(os.path.join(tmp_path, "d.txt"), 9, 3, 3605, "now")
     assert "30.0 sites/minute" in writers.append_summary(os.path.join(tmp_path, "s.txt"), 9, 3, 6, "now")
     clock = iter([0, 10, 70, 70, 80]).__next__
     gate = writers.SnapshotGate(rows=5, seconds=60, clock=clock)
@@ -137,3 +137,59 @@ def test_streams(spark, tmp_path):
     gate = writers.SnapshotGate(rows=1, seconds=0)
     resume.merge_results(spark, up, "id bigint, v string", base, "id", os.path.join(tmp_path, "ck2"), lambda d: seen.append(d.count()), gate).awaitTermination()
     assert {r.id: r.v for r in spark.read.parquet(base).collect()} == {0: "old", 1: "new", 2: "old", 9: "new"} and seen == [4]
+
+
+def test_old_workbooks_are_refused(spark, tmp_path):
+    with pytest.raises(ValueError, match="old binary"):
+        readers.table(spark, put(tmp_path, "a.xls", "x"))
+
+
+def test_damaged_state_files(spark, tmp_path):
+    aside, schema = os.path.join(tmp_path, "bad"), "a int, b string"
+    whole = put(tmp_path, "w.csv", "a,b\n1,x\n")
+    assert readers.csv_or_quarantine(spark, whole, schema, aside, "n").count() == 1 and not os.path.exists(aside)
+    partly = put(tmp_path, "p.csv", "a,b\n1,x\nzz,y\n")
+    assert [r.a for r in readers.csv_or_quarantine(spark, partly, schema, aside, "n").collect()] == [1]
+    assert os.path.exists(partly) and os.listdir(aside) == ["p_n.csv"]
+    gone = put(tmp_path, "g.csv", "a,b\nzz,y\n")
+    assert readers.csv_or_quarantine(spark, gone, schema, aside, "n").count() == 0
+    assert not os.path.exists(gone) and sorted(os.listdir(aside)) == ["g_n.csv", "p_n.csv"]
+
+
+def test_resume_from_the_own_output(spark, tmp_path):
+    assert readers.resumed(spark, os.path.join(tmp_path, "none.csv"), "Status Code") is None
+    assert readers.resumed(spark, put(tmp_path, "o.csv", "Website\na\n"), "Status Code") is None
+    assert readers.resumed(spark, put(tmp_path, "e.csv", "Website,Status Code\n"), "Status Code") is None
+    assert readers.resumed(spark, put(tmp_path, "r.csv", "Website,Status Code\na,200\n"), "Status Code").count() == 1
+
+
+@pytest.mark.parametrize("crash", ["before the renames", "between the renames"])
+def test_a_crash_while_a_table_is_replaced(spark, tmp_path, crash):
+    path = os.path.join(tmp_path, "t")
+    spark.range(3).write.parquet(path)
+    spark.range(5).write.parquet(f"{path}.next")
+    if crash == "between the renames":
+        os.rename(path, f"{path}.last")
+    writers.recover_table(spark, path)
+    assert spark.read.parquet(path).count() == (5 if crash == "between the renames" else 3)
+    writers.replace_table(spark.read.parquet(path).where("id > 1"), path)
+    assert sorted(os.listdir(tmp_path)) == ["t"]
+
+
+def test_the_last_row_of_a_key_counts(spark, tmp_path):
+    base, up = os.path.join(tmp_path, "base"), os.path.join(tmp_path, "up")
+    spark.createDataFrame([(1, "start")], "id bigint, v string").write.parquet(base)
+    spark.createDataFrame([(1, "old"), (2, "a"), (1, "new")], "id bigint, v string").coalesce(1).write.parquet(up)
+    for ck in ("ck", "replayed"):
+        resume.merge_results(spark, up, "id bigint, v string", base, "id", os.path.join(tmp_path, ck)).awaitTermination()
+        assert {r.id: r.v for r in spark.read.parquet(base).collect()} == {1: "new", 2: "a"}
+
+
+def test_a_replayed_batch_adds_no_pairs(spark, tmp_path):
+    src, log = os.path.join(tmp_path, "src"), os.path.join(tmp_path, "log")
+    pair = "keyword string, href string"
+    spark.createDataFrame([], pair).write.parquet(log)
+    spark.createDataFrame([("k", "1"), ("k", "2"), ("k", "1")], pair).write.parquet(src)
+    for ck in ("a", "b"):
+        resume.log_progress(spark, src, pair, log, os.path.join(tmp_path, ck)).awaitTermination()
+        assert spark.read.parquet(log).count() == 2

@@ -119,3 +119,27 @@ def test_crawl(spark):
 def test_hot_key_is_reduced_first(spark):
     df = spark.range(3000).select(F.col("id").alias("lead_id"), F.lit("x").alias("website"), F.lit("1").alias("phone"))
     assert ids(dedupe.cascade(df, "website", "phone", "lead_id")) == [0]
+
+
+def test_row_numbers_hold_when_adaptive_execution_cuts_ranges(spark):
+    from leadmill.operators import state
+
+    known = spark.createDataFrame([(7, "https://known.example")], "id bigint, url string")
+    rows = spark.range(5000).select(F.concat(F.lit("https://h"), F.col("id") % 3000, F.lit(".example")).alias("url"), F.col("id").alias("ord"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2k")
+    try:
+        fresh = state.new_urls(rows, "url", "ord", known)
+        twice = fresh.join(fresh.select("id", F.col("url").alias("again")), "id").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert sorted(r.id for r in twice) == list(range(8, 3008)) and all(r.url == r.again for r in twice)
+
+
+def test_places_within_a_hot_key(spark):
+    from leadmill.operators import state
+
+    rows = spark.range(3000).select(F.when(F.col("id") % 10 < 8, F.lit("hot")).when(F.col("id") % 10 == 8, "cold").alias("k"), F.col("id").alias("n"))
+    got = state.numbered_within(rows.repartition(5), "k", "n").collect()
+    for key in ("hot", "cold", None):
+        mine = sorted((r.n, r.place) for r in got if r.k == key)
+        assert [p for _, p in mine] == list(range(1, len(mine) + 1)) and mine

@@ -88,3 +88,36 @@ def test_table(spark):
         key=str,
     )
     assert unpack_fields(spark.createDataFrame([], schema)).count() == 0
+
+
+def test_long_numbered_lists():
+    text = " ".join(f"{k}) {k} Mill Street, Oldtown" for k in range(1, 151))
+    assert split_field("address", text) == [f"{k} Mill Street, Oldtown" for k in range(1, 151)]
+
+
+@pytest.mark.parametrize(
+    "text, want",
+    [
+        ('"john doe"@x.example', ['"john doe"@x.example']),
+        ('"Doe, John" <a@x.example>, "b@y.example"', ["a@x.example", "b@y.example"]),
+        ('"a@no.example" <a@x.example>', ["a@x.example"]),
+        ("a@x.example b@y.example", ["a@x.example", "b@y.example"]),
+        ("mailto:a@x.example?subject=b@y.example", ["a@x.example"]),
+    ],
+)
+def test_emails_in_pieces(text, want):
+    assert split_field("email", text) == want
+
+
+@pytest.mark.parametrize("unit", ["'a,", '"a,', "(", "a\n", "1) ", "1 or ", "a@x.example ", "/ ", "[x] ", " ", "12 Mill Street, ", "555 ", "+", "a: ", "\n", ",\n"])
+def test_time_is_linear(unit):
+    import time
+
+    for field in ("email", "phone", "address"):
+        took = []
+        for n in (8_000, 32_000):
+            text = "x" + unit * (n // len(unit))
+            began = time.perf_counter()
+            split_field(field, text)
+            took.append(time.perf_counter() - began)
+        assert took[1] < 12 * took[0] + 0.3, (field, took)
