@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leadmill.functions import emails, html, phones, social
+from leadmill.functions import emails, html, phones, social, urls
 from leadmill.functions.status import is_challenge, site_status
 from leadmill.operators.exports import SOCIAL
 from leadmill.session import spread
@@ -23,6 +23,35 @@ def _stack(df: DataFrame, site: str, sets: dict[str, Column]) -> DataFrame:
     return stacked.select(site, "s.kind", F.explode_outer("s.l").alias("value"))
 
 
+def home_addresses(sites: DataFrame) -> DataFrame:
+    """(site, place, url): the address of each home page to try, and behind it the one with www. in front of a host without."""
+    base = F.regexp_replace(F.when(F.col("url").rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), F.col("url")).otherwise(F.concat(F.lit("https://"), "url")), "/+$", "")
+    host = urls.netloc(base)
+    tries = F.when(host.startswith("www."), F.array(base)).otherwise(F.array(base, F.concat(F.lit("https://www."), host)))
+    return sites.select("site", F.posexplode(tries).alias("place", "url"))
+
+
+def pages_to_fetch(homes: DataFrame) -> DataFrame:
+    """(site, place, url): behind the home pages (site, url, html or null), their links that speak of contacts, then the known contact paths; each once.
+
+    A page that could not be fetched, or is no text, has no links, but its site's known paths are tried all the same.
+    """
+    base = F.regexp_replace("url", "/+$", "")
+    known = homes.select("site", base.alias("base"), "html")
+    parsed = spread(known.where("html is not null")).withColumn("page", html.parse("html"))
+    links = html.contact_links(parsed, "site", "page", "base").select("site", F.col("place").alias("place"), F.col("contact_url").alias("url"))
+    paths = known.select("site", F.posexplode(urls.contact_urls(F.col("base"))).alias("k", "url")).select("site", (F.col("k") + 100).alias("place"), "url")
+    every = links.unionByName(paths).join(known.select("site", F.col("base").alias("url")), ["site", "url"], "left_anti")
+    return every.groupBy("site", "url").agg(F.min("place").alias("place")).select("site", "place", "url")
+
+
+def scripts_to_fetch(pages: DataFrame) -> DataFrame:
+    """(site, url): the first five external scripts of each page (site, url, html) that may hold data, resolved, once for each site."""
+    parsed = spread(pages.where("html is not null").select("site", "url", "html")).withColumn("page", html.parse("html"))
+    each = parsed.select("site", "url", F.explode(html.script_urls(F.col("page"))).alias("src"))
+    return each.select("site", urls.url_join("url", "src").alias("url")).where("url is not null").distinct()
+
+
 def assemble(pages: DataFrame, scripts: DataFrame, bad_domains: list[str] | None = None) -> DataFrame:
     """One row of facts for each site.
 

@@ -143,3 +143,40 @@ def test_places_within_a_hot_key(spark):
     for key in ("hot", "cold", None):
         mine = sorted((r.n, r.place) for r in got if r.k == key)
         assert [p for _, p in mine] == list(range(1, len(mine) + 1)) and mine
+
+
+def test_addresses_to_fetch(spark):
+    homes = crawl.home_addresses(spark.createDataFrame([("a", "a.example/"), ("b", "http://www.b.example")], "site string, url string")).collect()
+    assert sorted(map(tuple, homes)) == [("a", 0, "https://a.example"), ("a", 1, "https://www.a.example"), ("b", 0, "http://www.b.example")]
+    page = "<a href='/contact-us'>Contact</a><a href='team/contact'>Contact us</a><a href='https://other.example/contact'>Contact</a><a href='/'>Contact</a>" + "".join(f"<script src='/js/{k}.js'></script>" for k in range(7)) + "<script src='/js/0.js'></script>"
+    rows = spark.createDataFrame([("a", "https://a.example/", page), ("b", "https://b.example", None)], "site string, url string, html string")
+    got = sorted((r.site, r.place, r.url) for r in crawl.pages_to_fetch(rows).collect())
+    assert [g[2] for g in got if g[0] == "a"][:2] == ["https://a.example/contact-us", "https://a.example/team/contact"]
+    assert len({g[2] for g in got if g[0] == "a"}) == len([g for g in got if g[0] == "a"])
+    assert len([g for g in got if g[0] == "b"]) == 9 and all(g[2].startswith("https://b.example/") for g in got if g[0] == "b")
+    assert sorted(r.url for r in crawl.scripts_to_fetch(rows).collect()) == [f"https://a.example/js/{k}.js" for k in range(5)]
+
+
+def test_what_a_run_does_first(spark):
+    from leadmill import schemas
+    from leadmill.operators import runs
+
+    site = {c.split(" ")[0]: None for c in schemas.WEBSITES.split(", ")}
+    result = {c.split(" ")[0]: None for c in schemas.EXTRACTED_RESULTS.split(", ")}
+    websites = spark.createDataFrame([{**site, "id": k, "url": f"https://s{k}.example", "domain": f"s{k}.example", "status": s, "error_message": "e"} for k, s in enumerate(["completed", "failed", "no_data", "processing"], 1)], schemas.WEBSITES)
+    results = spark.createDataFrame([{**result, "id": 10 + k, "website_id": k, "status": "failed", "email": "", "phone": "+91 88855 51111", "address": ""} for k in (1, 2)], schemas.EXTRACTED_RESULTS)
+    incoming = spark.createDataFrame([("s1.example", 1), ("new.example", 2), ("new.example", 3)], "url string, ord int")
+
+    def states(start):
+        return {r.id: r.status for r in start.websites.collect()}, {r.id: (r.website_id, r.status) for r in start.results.collect()}, {r.id for r in start.pending.collect()}
+
+    sites, found, pending = states(runs.begin(websites, results, incoming))
+    assert sites == {1: "completed", 2: "pending", 3: "pending", 4: "pending", 5: "pending"} and pending == {2, 3, 4, 5}
+    assert found == {11: (1, "failed"), 12: (2, "pending"), 13: (5, "pending")}
+    sites, found, pending = states(runs.begin(websites, results, incoming, runs.Options(retry=False)))
+    assert sites == {1: "completed", 2: "failed", 3: "no_data", 4: "pending", 5: "pending"} and pending == {4, 5}
+    sites, found, pending = states(runs.begin(websites, results, incoming, runs.Options(export_only=True)))
+    assert sites[2] == "pending" and 5 not in sites and not pending
+    again = runs.begin(websites, results, incoming, runs.Options(recheck_existing=True, assume_country="in"))
+    assert all(r.phone.startswith("+") for r in again.results.collect())
+    assert [r.id for r in runs.exported(again)["wide"].collect()] == [1, 2, 3, 4]
