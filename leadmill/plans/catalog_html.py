@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadmill.functions import html
-from leadmill.operators import exports
+from leadmill.operators import crawl, exports
 from leadmill.session import spread, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,3 +72,44 @@ def export_json_fields(spark, sf_dir):
     fields = "website string, domain string, status string, pages_crawled int, phone string"
     found = exports.nested(sites, results).select("id", F.from_json("record", fields).alias("r"))
     return found.select("id", F.to_json(F.struct("r.website", "r.domain", "r.status", F.col("r.pages_crawled").alias("pages"), "r.phone"), {"ignoreNullFields": "false"}).alias("record"))
+
+
+@query("SELECT id, '# Site ' || id || chr(10) || chr(10) || 'Text **' || id || '** and *more*.' || chr(10) || chr(10) || '* one' || chr(10) || '* [two](/t' || id || ')' || chr(10) || chr(10) || '> said' AS markdown FROM websites")
+def html_markdown_varied(spark, sf_dir):
+    """Scripts, styles and comments fall away; headings, lists, links and quotes stay."""
+    k = F.col("id").cast("string")
+    page = F.concat(
+        F.lit("<html><head><title>x</title><style>a{b:c}</style></head><body><!-- no --><h1>Site "), k, F.lit("</h1><script>var a=1;</script><p>Text <b>"), k,
+        F.lit("</b> and <em>more</em>.</p><ul><li>one</li><li><a href='/t"), k, F.lit("'>two</a></li></ul><blockquote>said</blockquote></body></html>"),
+    )
+    return spread(table(spark, sf_dir, "websites").select("id", page.alias("html"))).select("id", html.markdown("html").alias("markdown"))
+
+
+@query("""SELECT 'h' || id || '.example' AS site, 'email 1: info' || id || '@corp' || (id % 9) || '.biz' AS email,
+      '+1 (780) 555-' || lpad(CAST(id * 7 % 10000 AS VARCHAR), 4, '3') AS phone, 'https://www.facebook.com/shop' || id AS facebook,
+      '# Home ' || id AS homepage_markdown, CAST(3 AS BIGINT) AS pages_crawled, 'completed' AS status FROM websites WHERE id % 2 = 0
+    UNION ALL SELECT 'h' || id || '.example', '', '', '', '', CAST(3 AS BIGINT), 'failed' FROM websites WHERE id % 2 = 1""")
+def crawl_assembly_varied(spark, sf_dir):
+    """Facts of a home page, a contact page and a file that is no text; every other site shows a browser check instead."""
+    k = F.col("id").cast("string")
+    phone = F.lpad((F.col("id") * 7 % 10_000).cast("string"), 4, "3")
+    home = F.concat(F.lit("<html><body><h1>Home "), k, F.lit("</h1><a href='mailto:info"), k, F.lit("@corp"), (F.col("id") % 9).cast("string"), F.lit(".biz'></a></body></html>"))
+    contact = F.concat(F.lit("<html><body><a href='tel:+1780555"), phone, F.lit("'>call</a><a href='https://www.facebook.com/shop"), k, F.lit("'>f</a></body></html>"))
+    hidden = F.col("id") % 2 == 1
+    page = lambda url, kind, text, is_home: F.struct(url.alias("url"), F.lit(kind).alias("content_type"), F.when(hidden, "Just a moment").otherwise(text).alias("html"), F.lit(is_home).alias("is_home"))
+    base = F.concat(F.lit("https://h"), k, F.lit(".example"))
+    each = F.array(page(base, "text/html", home, True), page(F.concat(base, F.lit("/contact")), "text/html; charset=utf-8", contact, False), page(F.concat(base, F.lit("/a.pdf")), "application/pdf", F.replace(home, F.lit("info"), F.lit("wrong")), False))
+    error = F.when(hidden, "Connection failed or non-HTML response").alias("error")
+    pages = table(spark, sf_dir, "websites").select(F.concat(F.lit("h"), k, F.lit(".example")).alias("site"), error, F.inline(each))
+    scripts = spark.createDataFrame([], "site string, body string")
+    return crawl.assemble(pages, scripts).select("site", "email", "phone", "facebook", "homepage_markdown", "pages_crawled", "status")
+
+
+@query("SELECT id, (id % 300 + 1) || ' Harrow Street, Oldtown, BC V5K 0A' || (id % 10) AS address FROM websites")
+def html_addresses_varied(spark, sf_dir):
+    """The address of the footer, with a price list and a phone number that look a little like one."""
+    k = F.col("id")
+    place = F.concat((k % 300 + 1).cast("string"), F.lit(" Harrow Street, Oldtown, BC V5K 0A"), (k % 10).cast("string"))
+    page = F.concat(F.lit("<html><body><p>Room 12, from $300 a night</p><p>Call 780 555 0142</p><footer class='footer'><p>"), place, F.lit("</p></footer></body></html>"))
+    parsed_ = spread(table(spark, sf_dir, "websites").select("id", page.alias("html"))).withColumn("page", html.parse("html"))
+    return parsed_.select("id", F.explode(html.top_addresses(html.page_addresses(F.col("page")))).alias("address"))
