@@ -57,16 +57,18 @@ CLASS = ["pool", "n", "mix", "total", "role"]
 
 _SAYS = re.compile(r"[^\W_]")
 
-_tokens: dict[str, int] = {}
+_keys: dict[str, tuple[int, int | None]] = {}
 
 
-def token_of(line: str) -> int:
-    """The 64-bit hash of a line's template."""
-    found = _tokens.get(line)
+def keys_of(line: str) -> tuple[int, int | None]:
+    """The 64-bit hashes of a line's template and of the line itself (none without letters or digits)."""
+    found = _keys.get(line)
     if found is None:
-        if len(_tokens) > 100_000:
-            _tokens.clear()
-        found = _tokens[line] = xxhash.xxh64_intdigest(template(line)) - (1 << 63)
+        if len(_keys) > 100_000:
+            _keys.clear()
+        bare = line.strip()
+        own = xxhash.xxh64_intdigest(bare) - (1 << 63) if _SAYS.search(bare) else None
+        found = _keys[line] = xxhash.xxh64_intdigest(template(line)) - (1 << 63), own
     return found
 
 
@@ -75,16 +77,11 @@ LINES = "numbers array<int>, blocks array<int>, chrome array<boolean>, tokens ar
 
 def lines_of(blocks: list[list[tuple[int, str]]], beside: list[bool]) -> tuple[list, list, list, list, list]:
     """The columns LINES of one page; a line without letters or digits has no hash in ``lines``."""
-    numbers, block_ids, chrome, tokens, lines = [], [], [], [], []
-    for k, (block, c) in enumerate(zip(blocks, beside)):
-        for number, line in block:
-            numbers.append(number)
-            block_ids.append(k)
-            chrome.append(c)
-            tokens.append(token_of(line))
-            bare = line.strip()
-            lines.append(xxhash.xxh64_intdigest(bare) - (1 << 63) if _SAYS.search(bare) else None)
-    return numbers, block_ids, chrome, tokens, lines
+    numbers = [number for block in blocks for number, _ in block]
+    block_ids = [k for k, block in enumerate(blocks) for _ in block]
+    chrome = [c for block, c in zip(blocks, beside) for _ in block]
+    keys = [keys_of(line) for block in blocks for _, line in block]
+    return numbers, block_ids, chrome, [k[0] for k in keys], [k[1] for k in keys]
 
 
 def read_pages(pages: DataFrame) -> DataFrame:

@@ -87,21 +87,32 @@ _ONLY_COUNT = re.compile(r"^\W*\d+\W*$")
 _COUNTED = re.compile(r"\(\d+\)\s*$|\)\s*\(\d+\)$|\(\d+\)\]")
 
 
+_HASH_SLOT = re.compile(r"#[A-Z_]+#")
+_DIGITS = re.compile(r"\d+")
+
+
+@lru_cache(maxsize=20_000)
 def plain(line: str) -> str:
     """The text without list marks, heading marks, bold marks and link targets."""
     s = _MARK.sub("", line.strip())
-    s = s.strip("#").strip() if s.startswith("#") and not re.match(r"#[A-Z_]+#", s) else s
-    s = _LINK.sub(r"\1", s)
+    if s.startswith("#") and not _HASH_SLOT.match(s):
+        s = s.strip("#").strip()
+    if "](" in s:
+        s = _LINK.sub(r"\1", s)
     if s.startswith("**") and s.endswith("**"):
         s = s[2:-2]
     return s.strip()
 
 
+_CAPITALISED = re.compile(r"(?<= )[A-ZÀ-ÖØ-ÞΑ-ΩА-Я][^ ]*")
+
+
 def template(line: str) -> str:
-    """The line with numbers and capitalised words masked."""
-    s = re.sub(r"\d+", "0", plain(line))
-    head, *rest = s.split(" ")
-    return " ".join([head, *("*" if w[:1].isupper() else w for w in rest)])
+    """The line with numbers and words with a Latin, Greek or Cyrillic capital masked, but for the first word."""
+    return _CAPITALISED.sub("*", _DIGITS.sub("0", plain(line)))
+
+
+_SEPARATORS = re.compile(r"[|·•/\-–—>»›]")
 
 
 def _names(text: str, known: frozenset[str]) -> bool:
@@ -109,10 +120,11 @@ def _names(text: str, known: frozenset[str]) -> bool:
     low = text.lower().strip(" .:")
     if low in known:
         return True
-    parts = [p.strip(" .:") for p in _BETWEEN.split(low) if p.strip(" .:")]
-    if len(parts) > 1:
-        return sum(p in known for p in parts) * 2 >= len(parts)
-    return _chain(low, known)
+    if _SEPARATORS.search(low):
+        parts = [p.strip(" .:") for p in _BETWEEN.split(low) if p.strip(" .:")]
+        if len(parts) > 1:
+            return sum(p in known for p in parts) * 2 >= len(parts)
+    return low.split(" ", 1)[0] in _FIRST and _chain(low, known)
 
 
 def _chain(text: str, known: frozenset[str]) -> bool:
@@ -129,6 +141,7 @@ def _chain(text: str, known: frozenset[str]) -> bool:
 
 
 _CHAINED = MENU | LEGAL | BUTTONS
+_FIRST = frozenset(n.split(" ")[0] for n in _CHAINED)
 
 
 @lru_cache(maxsize=100_000)

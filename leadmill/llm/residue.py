@@ -214,7 +214,8 @@ def masked(record: str) -> str:
     """A record with a wildcard for each token that varies by its kind; a bare status code stays."""
     if len(record) < 12 and _CODE.fullmatch(record):
         return record
-    return " ".join([_MASK if _VARIABLE.search(w) else w for w in record.split()])
+    words = record.split()
+    return " ".join([_MASK if _VARIABLE.search(w) else w for w in words] if _VARIABLE.search(record) else words)
 
 
 def is_name(record: str) -> bool:
@@ -259,8 +260,21 @@ class PrefixTree:
         return classify(self.add(masked(record))[1])
 
 
-#: Ends of sentences; not behind abbreviations.
-_SENTENCE = re.compile(r"(?<=[.!?…])(?<!max\.)(?<!min\.)(?<!incl\.)(?<!e\.g\.)(?<!approx\.)[\"”’)*_]*\s+")
+#: Ends of sentences, and abbreviations that end none.
+_STOP = re.compile(r"[.!?…][\"”’)*_]*\s+")
+_ABBREVIATIONS = ("max.", "min.", "incl.", "e.g.", "approx.")
+
+
+def sentences_of(text: str) -> list[str]:
+    """The sentences of a line that are not blank, without what closes them behind the stop."""
+    found, start = [], 0
+    for m in _STOP.finditer(text):
+        end = m.start() + 1
+        if end >= start and not text.endswith(_ABBREVIATIONS, start, end):
+            found.append(text[start:end])
+            start = m.end()
+    found.append(text[start:])
+    return [s for s in found if s and not s.isspace()]
 
 
 # --- pages and messages -----------------------------------------------------
@@ -286,35 +300,46 @@ def is_chrome(block: list[tuple[int, str]]) -> bool:
     return any(kind_of(line) in CHROME for _, line in block)
 
 
+def key_of(record: str) -> int:
+    """The 63-bit hash of a masked record, as a signed number with its lowest bit free."""
+    return (xxhash.xxh64_intdigest(record) >> 1 << 1) - (1 << 63)
+
+
+#: A masked record, its key, and whether it can be real content (1 or 0).
+Saying = tuple[str, int, int]
+
+
+def saying(sentence: str, real: bool) -> Saying:
+    record = masked(sentence)
+    return record, key_of(record), int(real)
+
+
 @lru_cache(maxsize=50_000)
-def line_records(line: str) -> tuple[bool, tuple[str, ...], tuple[bool, ...]]:
-    """Whether a line has a slot, its records, and for each whether it can be real content."""
-    sentences = tuple(s for s in _SENTENCE.split(plain(line)) if s.strip())
-    return has_slot(line), sentences, tuple(not is_name(s) for s in sentences)
+def line_records(line: str) -> tuple[bool, list[Saying]]:
+    """Whether a line has a slot, and its records."""
+    return has_slot(line), [saying(s, not is_name(s)) for s in sentences_of(plain(line))]
 
 
-def page_records(blocks: list[list[tuple[int, str]]], chrome: list[bool]) -> tuple[bool, list[str], list[bool]]:
-    """Whether the body of a page has a slot, its records, and for each record whether it can be real content."""
-    slot, found, real = False, [], []
+def page_records(blocks: list[list[tuple[int, str]]], chrome: list[bool]) -> tuple[bool, list[Saying]]:
+    """Whether the body of a page has a slot, and its records."""
+    slot, found = False, []
     for block, beside in zip(blocks, chrome):
         if beside:
             # the heading of an error page may look like a counted link
             if len(block) == 1 and kind_of(block[0][1]) in ("counted", "menu"):
-                found.append(plain(block[0][1]))
-                real.append(False)
+                found.append(saying(plain(block[0][1]), False))
             continue
         for _, line in block:
-            unfilled, sentences, contents = line_records(line)
+            unfilled, sayings = line_records(line)
             slot = slot or unfilled
-            found += sentences
-            real += contents
-    return slot, found, real
+            found += sayings
+    return slot, found
 
 
-def message_records(text: str) -> tuple[bool, list[str], bool]:
+def message_records(text: str) -> tuple[bool, list[Saying], bool]:
     """Whether a message has a slot, its records, and whether it may be what visitors read: not a crawler's diagnosis."""
     bare = _TAGS.sub("\n", text)
-    found = [s for line in bare.split("\n") for s in _SENTENCE.split(plain(line)) if s.strip()]
+    found = [saying(s, True) for line in bare.split("\n") for s in sentences_of(plain(line))]
     return has_slot(text), found, bare != text or not _DIAGNOSIS.search(text)
 
 
@@ -323,9 +348,9 @@ def page_text_is_case(text: str | None) -> bool:
     if not text or text.isspace():
         return False
     blocks = blocks_of(text)
-    slot, found, real = page_records(blocks, [is_chrome(b) for b in blocks])
-    said = [classify(masked(s)) for s in found]
-    return slot or FILLER in said or (not {ERROR, NOTICE}.isdisjoint(said) and not any(v == ORDINARY and r for v, r in zip(said, real)))
+    slot, found = page_records(blocks, [is_chrome(b) for b in blocks])
+    said = [classify(record) for record, _, _ in found]
+    return slot or FILLER in said or (not {ERROR, NOTICE}.isdisjoint(said) and not any(v == ORDINARY and r for v, (_, _, r) in zip(said, found)))
 
 
 _TAGS = re.compile(r"</?(?:html|head|title|body|center|h[1-6]|p|br|div|span|hr|pre|b|i)\b[^>]*>", re.IGNORECASE)
@@ -336,7 +361,7 @@ def message_is_case(text: str | None) -> bool:
     if not text or text.isspace():
         return False
     slot, found, visitors = message_records(text)
-    said = [classify(masked(s)) for s in found]
+    said = [classify(record) for record, _, _ in found]
     return slot or FILLER in said or (visitors and not {ERROR, NOTICE}.isdisjoint(said))
 
 
@@ -346,11 +371,6 @@ PARSED = "page_table string, id bigint, host string, page bigint, slot boolean,
 COUNTED = "record string, key bigint, n bigint, pages bigint, alone bigint, hosts bigint"
 
 
-def key_of(record: str) -> int:
-    """The 63-bit hash of a masked record, as a signed number with its lowest bit free."""
-    return (xxhash.xxh64_intdigest(record) >> 1 << 1) - (1 << 63)
-
-
 class Records:
     """Counts the records of one task; a table of them is handed out when it is full and at the end."""
 
@@ -358,34 +378,29 @@ class Records:
 
     def __init__(self) -> None:
         self.stats: dict[str, list[int]] = {}
-        self.keys: dict[str, tuple[str, int]] = {}
-
-    def saying(self, record: str, real: bool, host: int, page: bool, alone: bool) -> int:
-        """Count a record; its key, with the lowest bit set if it can be real content."""
-        known = self.keys.get(record)
-        if known is None:
-            if len(self.keys) > self.FULL:
-                self.keys.clear()
-            m = masked(record)
-            known = self.keys[record] = (m, key_of(m))
-        stat = self.stats.get(known[0])
-        if stat is None:
-            stat = self.stats[known[0]] = [0, 0, 0, 0]
-        stat[0] += 1
-        if page:
-            stat[1] += 1
-            stat[2] += alone
-            stat[3] |= host
-        return known[1] | real
+
+    def count(self, found: list[Saying], page: int, alone: int, host: int) -> list[int]:
+        """Count records; their keys, with the lowest bit set if they can be real content."""
+        stats = self.stats
+        for record, _, _ in found:
+            stat = stats.get(record)
+            if stat is None:
+                stats[record] = [1, page, alone, host]
+            else:
+                stat[0] += 1
+                stat[1] += page
+                stat[2] += alone
+                stat[3] |= host
+        return [key | real for _, key, real in found]
 
     def page(self, blocks, chrome, host: str | None) -> tuple[bool, bool, int, list[int]]:
-        slot, found, real = page_records(blocks, chrome)
-        bit, alone = 1 << (xxhash.xxh64_intdigest(host or "") & 63), len(found) <= ALONE_RECORDS
-        return slot, True, sum(real), [self.saying(s, r, bit, True, alone) for s, r in zip(found, real)]
+        slot, found = page_records(blocks, chrome)
+        bit = 1 << (xxhash.xxh64_intdigest(host or "") & 63)
+        return slot, True, sum([real for _, _, real in found]), self.count(found, 1, int(len(found) <= ALONE_RECORDS), bit)
 
     def message(self, text: str) -> tuple[bool, bool, int, list[int]]:
         slot, found, visitors = message_records(text)
-        return slot, visitors, len(found), [self.saying(s, True, 0, False, False) for s in found]
+        return slot, visitors, len(found), self.count(found, 0, 0, 0)
 
     def handed_out(self) -> list[pa.Array]:
         rows = [(r, key_of(r), *v) for r, v in self.stats.items()]
