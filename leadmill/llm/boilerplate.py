@@ -188,7 +188,10 @@ def deduced(pages: DataFrame) -> DataFrame:
     sizes = fixed.groupBy("group", "class").agg(F.max("n").alias("n"), F.count("*").alias("size"))
     root = sizes.groupBy("group").agg(F.max_by("class", F.struct("n", "size", "class")).alias("root_class"))
     fixed = materialize(fixed.join(root, "group").withColumn("root", F.col("class") == F.col("root_class")).drop("root_class"), "fixed-lines")
-    met = meet(lines.select("row", "group", "line", "at"), fixed.select("group", "line", "class", "root"), ["group", "line"], "inner", "fixed-keys")
+    if fixed.isEmpty():
+        # no group has a line in common: there is nothing to order or nest
+        return fixed.withColumns({"slot": F.lit(0), "valid": F.lit(False)})
+    met = meet(lines.select("row", "group", "line", "at"), fixed.select("group", "line", "class", "root"), ["group", "line"], "inner", None)
     # the fixed lines of one page, in order; each with the number of root lines before it
     page = met.groupBy("row", "group").agg(F.array_sort(F.collect_list(F.struct("at", "line", "class", "root"))).alias("found"))
     slots = F.transform("found", lambda x: F.struct(x["line"].alias("line"), x["class"].alias("class"), F.size(F.filter("found", lambda y: y["root"] & (y["at"] < x["at"]))).alias("slot")))
@@ -218,9 +221,11 @@ def _group_lines(pages: DataFrame) -> DataFrame:
 
 def fixed_blocks(pages: DataFrame) -> DataFrame:
     """(row, block): blocks that the deduced templates hold as fixed, with more fixed lines than slots."""
-    valid = deduced(pages).where("valid").select("group", "line", F.lit(1).alias("fixed"))
+    valid = materialize(deduced(pages).where("valid").select("group", "line", F.lit(1).alias("fixed")), "valid-lines")
+    if valid.isEmpty():
+        return pages.limit(0).select("row", F.lit(0).alias("block"))
     lines = _group_lines(pages).select("row", "group", "line", "block")
-    votes = meet(lines, valid, ["group", "line"], "left", "valid-lines").groupBy("row", "group", "block").agg(F.count("fixed").alias("fixed"), F.count("*").alias("n"))
+    votes = meet(lines, valid, ["group", "line"], "left", None).groupBy("row", "group", "block").agg(F.count("fixed").alias("fixed"), F.count("*").alias("n"))
     return votes.where(F.col("fixed") * 2 > F.col("n")).select("row", "block").distinct()
 
 

@@ -13,9 +13,9 @@ MAX_SENT = 200_000
 SALTS = 16
 
 
-def meet(left: DataFrame, right: DataFrame, on: list[str], how: str, label: str, salts: int = SALTS) -> DataFrame:
-    """left (with ``row``) joined to right, which is written down once; ``salts`` = 1 where no key of left is hot."""
-    right = materialize(right, label)
+def meet(left: DataFrame, right: DataFrame, on: list[str], how: str, label: str | None, salts: int = SALTS) -> DataFrame:
+    """left (with ``row``) joined to right, which is written down once (no label: it is already); ``salts`` = 1 where no key of left is hot."""
+    right = materialize(right, label) if label else right
     if right.count() <= MAX_SENT:
         return left.join(F.broadcast(right), on, how)
     if salts == 1:
