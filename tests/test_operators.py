@@ -180,3 +180,15 @@ def test_what_a_run_does_first(spark):
     again = runs.begin(websites, results, incoming, runs.Options(recheck_existing=True, assume_country="in"))
     assert all(r.phone.startswith("+") for r in again.results.collect())
     assert [r.id for r in runs.exported(again)["wide"].collect()] == [1, 2, 3, 4]
+
+
+@pytest.mark.parametrize("master", ["spark://host:7077", "yarn", "local-cluster[3,2,3000]", "k8s://host"])
+def test_a_cluster_needs_a_shared_folder(master):
+    from types import SimpleNamespace
+
+    from leadmill.session import shared_folder
+
+    unset = SimpleNamespace(get=lambda name, default=None: default)
+    context = SimpleNamespace(master=master, getCheckpointDir=lambda: None)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(SimpleNamespace(conf=unset, sparkContext=context))
