@@ -15,10 +15,6 @@ def as_day(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd")
 
 
-def as_text(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
-
-
 def age_days(created: Column, now: Column) -> Column:
     """Whole days between two times, never negative (days of 24 hours, not calendar days)."""
     micros = F.unix_micros(now.cast("timestamp")) - F.unix_micros(created.cast("timestamp"))

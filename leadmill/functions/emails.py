@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from leadmill.functions.text import let, py_strip, strip_chars
 
+#: The patterns of addresses in text, in listings, and written so that machines miss them.
 PLAIN = r"\b[A-Za-z0-9._%+\-]+@[A-Za-z0-9.\-]+\.[A-Za-z]{2,}\b"
 LISTING = r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9.\-]+\.[A-Za-z]{2,}"
 OBFUSCATED = r"(?i)\b[A-Za-z0-9._%+\-]+\s*(?:\[at\]|\(at\)|@)\s*[A-Za-z0-9.\-]+\s*(?:\[dot\]|\(dot\)|\.)\s*[A-Za-z]{2,}\b"

@@ -46,6 +46,7 @@ ADDRESS_CLASSES = ["address", "location", "footer", "header", "office", "headqua
 PHONE_CLASSES = ["info", "call", "header", "footer", "contact", "phone", "media", "top"]
 PHONE_LABELS = ["call", "ph:", "phone", "tel:", "contact"]
 NOT_SCRIPT_ADDRESS = ["http", "pop", "react", "window", "null", "undefined", "function", ".png", ".jpg", ".svg", ".css", ".js"]
+#: Labels before an address, postcodes, and a number with a street.
 ADDRESS_PREFIX = r"(?i)^(our office address|office address|our location|location|address)\s*:?\s*"
 POSTCODE = r"\b(?:[A-Za-z]\d[A-Za-z]\s?\d[A-Za-z]\d|\d{5}(?:-\d{4})?)\b"
 NUMBER_AND_STREET = (

@@ -9,15 +9,19 @@ from leadmill.functions.text import let, py_strip
 
 #: Dummy numbers, Canadian area codes, provinces, states.
 DUMMIES = ["2597462153", "26921562148", "310259121563", "1234567890", "0000000000", "9999999999", "1111111111", "1234567"]
-CANADIAN_AREA_CODES = """
-    204 226 236 249 250 289 306 343 354 365 367 382 403 416 418 431 437 438 450 506 514 519 548 579 581 584 587 604 613 639
-    647 672 705 709 742 753 778 780 782 807 819 825 867 873 879 902 905
-""".split()
-PROVINCES = "AB BC MB NB NL NS NT NU ON PE QC SK YT".split()
-STATES = """
-    AL AK AZ AR CA CO CT DE FL GA HI ID IL IN IA KS KY LA ME MD MA MI MN MS MO MT NE NV NH NJ NM NY NC ND OH OK OR PA RI SC SD
-    TN TX UT VT VA WA WV WI WY
-""".split()
+CANADIAN_AREA_CODES = [
+    "204", "226", "236", "249", "250", "289", "306", "343", "354", "365", "367", "382", "403", "416", "418", "431", "437", "438", "450", "506",
+    "514", "519", "548", "579", "581", "584", "587", "604", "613", "639", "647", "672", "705", "709", "742", "753", "778", "780", "782", "807",
+    "819", "825", "867", "873", "879", "902", "905",
+]
+PROVINCES = [
+    "AB", "BC", "MB", "NB", "NL", "NS", "NT", "NU", "ON", "PE", "QC", "SK", "YT",
+]
+STATES = [
+    "AL", "AK", "AZ", "AR", "CA", "CO", "CT", "DE", "FL", "GA", "HI", "ID", "IL", "IN", "IA", "KS", "KY", "LA", "ME", "MD",
+    "MA", "MI", "MN", "MS", "MO", "MT", "NE", "NV", "NH", "NJ", "NM", "NY", "NC", "ND", "OH", "OK", "OR", "PA", "RI", "SC",
+    "SD", "TN", "TX", "UT", "VT", "VA", "WA", "WV", "WI", "WY",
+]
 INDIA = r"(?i)\bindia\b"
 CANADA = rf"(?i)\bcanada\b|,\s*(?:{'|'.join(PROVINCES)})\b|\b[A-Za-z]\d[A-Za-z]\s?\d[A-Za-z]\d\b"
 USA = rf"(?i)\b(?:usa|united states)\b|,\s*(?:{'|'.join(STATES)})\s*\d{{5}}"

@@ -5,7 +5,6 @@ from __future__ import annotations
 import re
 import zipfile
 from collections.abc import Iterator
-from io import BytesIO
 from xml.etree import ElementTree
 from xml.sax.saxutils import escape
 
@@ -135,9 +134,3 @@ class XlsxSource(DataSource):
 
 def register(spark) -> None:
     spark.dataSource.register(XlsxSource)
-
-
-def bytes_of(header: list[str], rows) -> bytes:
-    out = BytesIO()
-    write_rows(out, header, iter(rows))
-    return out.getvalue()
